@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality, simhash
+from . import decontaminate, mixing, quality, sharding, simhash
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,17 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN nh USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    placed = sharding.shard(docs.withColumn("text_crc32", crc), keep=["doc_id", "text_crc32"])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
