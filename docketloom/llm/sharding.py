@@ -2,7 +2,7 @@
 
 Groups of equal texts are the items. Each goes where the dot product of its (bytes, tokens, rows) with the shards'
 residual capacities is highest, larger items first. Items are packed twice: within buckets of the groups' hashes, in
-parallel, into as many bundles as there are shards, and then the bundles, whose number is bounded, into the shards.
+parallel, into a few bundles for each shard, and then the bundles, whose number is bounded, into the shards.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ MOST_BUCKETS, BUCKET_GROUPS = 4096, 1024
 _LOADS = ("bytes", "tokens", "rows")
 
 
-def pack(loads: np.ndarray, bins: int, weights: tuple[float, ...] = (4.0, 1.0, 1.0)) -> np.ndarray:
+def pack(loads: np.ndarray, bins: int, weights: tuple[float, ...] = (128.0, 1.0, 1.0)) -> np.ndarray:
     """The bin of each item, largest first, by the highest dot product with the residual capacities (an equal share each)."""
     unit = loads.sum(0) / bins
     x = loads / np.where(unit > 0, unit, 1)
@@ -72,21 +72,31 @@ def shard(docs: DataFrame, shards: int = 24, text_col: str = "text", id_col: str
     alone = sorted(alone.collect())
     buckets = int(min(MOST_BUCKETS, max(1, total["groups"] // BUCKET_GROUPS)))
 
+    per_bucket = shards * max(1, min(64, MOST_BUCKETS // 8 // buckets))
+
     def bundle(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["a", "b"])
-        return part.assign(bundle=pack(part[list(_LOADS)].to_numpy(float), shards))
+        # the smallest groups, a sixteenth of the bytes, make bundles of their own: small items that even out the rest
+        part = part.sort_values(["bytes", "a", "b"], ascending=[False, True, True])
+        large = (part["bytes"].cumsum() <= part["bytes"].sum() * (15 / 16)).to_numpy()
+        loads, of = part[list(_LOADS)].to_numpy(float), np.zeros(len(part), np.int64)
+        of[large] = pack(loads[large], per_bucket)
+        of[~large] = per_bucket + pack(loads[~large], per_bucket)
+        return part.assign(bundle=of)
 
     light = groups.where(over(HEAVY) <= 1).withColumn("bucket", F.pmod(F.xxhash64("a", "b"), F.lit(buckets)).cast("int"))
     bundled = staged(light.groupBy("bucket").applyInPandas(bundle, "a long, b long, bytes long, tokens long, rows long, bucket int, bundle int"), "bundles")
-    bundles = sorted(bundled.groupBy("bucket", "bundle").agg(*[F.sum(c).alias(c) for c in _LOADS]).collect())  # MOST_BUCKETS * shards at most
+    bundles = sorted(bundled.groupBy("bucket", "bundle").agg(*[F.sum(c).alias(c) for c in _LOADS]).collect())  # 2 * MOST_BUCKETS * shards at most
     items = np.array([r[3:] for r in alone] + [r[2:] for r in bundles], float).reshape(-1, 3)
     of = pack(items, shards).tolist()
     place = F.broadcast(spark.createDataFrame([(r[0], r[1], k) for r, k in zip(bundles, of[len(alone) :], strict=True)], "bucket int, bundle int, shard int"))
     fixed = spark.createDataFrame([(*r[:3], k) for r, k in zip(alone, of, strict=False)], "a long, b long, piece int, shard int")
     where = staged(bundled.join(place, ["bucket", "bundle"]).select("a", "b", F.lit(0).alias("piece"), "shard").union(fixed), "places")
 
-    keyed = sized.join(cut, (F.col("__g.a") == cut["a"]) & (F.col("__g.b") == cut["b"]), "left").select(*keep, new[0], F.col("__g.a").alias("__a"), F.col("__g.b").alias("__b"), piece.alias("__piece"))
-    placed = keyed.join(where, (F.col("__a") == where["a"]) & (F.col("__b") == where["b"]) & (F.col("__piece") == where["piece"])).select(*keep, new[0], F.col("shard").alias(new[1]))
+    own = cut.select(F.col("a").alias("__a"), F.col("b").alias("__b"), F.col("pieces").alias("__pieces"))
+    piece = F.pmod(F.col("__h"), F.coalesce("__pieces", F.lit(1))).cast("int")
+    keyed = sized.join(F.broadcast(own), (F.col("__g.a") == F.col("__a")) & (F.col("__g.b") == F.col("__b")), "left").select(*keep, new[0], "__g", piece.alias("__piece"))
+    where = where.select(F.struct("a", "b").alias("__to"), F.col("piece").alias("__to_piece"), F.col("shard").alias("__to_shard"))
+    placed = keyed.join(where, (F.col("__g") == F.col("__to")) & (F.col("__piece") == F.col("__to_piece"))).select(*keep, new[0], F.col("__to_shard").alias(new[1]))
     return numbered(placed, new[1], new[2])
 
 

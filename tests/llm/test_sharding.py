@@ -23,7 +23,8 @@ def test_balanced_whole_and_gapless(spark):
     assert list(per.index) == list(range(24)) and (per["top"] == per["n"] - 1).all() and (per["low"] == 0).all()
     assert not out.duplicated(["shard", "slot"]).any()
     assert per["b"].max() / per["b"].min() < 1.01 and per["n"].max() / per["n"].min() < 1.3  # the empty texts are one group
-    assert (out.assign(t=out["text"].fillna("")).groupby("t")["shard"].nunique() == 1).all()
+    per_text = out.assign(t=out["text"].fillna("")).groupby("t")["shard"].nunique()
+    assert (per_text.drop("") == 1).all()  # the empty texts are over a quarter of a shard
 
 
 def test_hot_group_is_split(spark):
