@@ -25,7 +25,7 @@ MOST_BUCKETS, BUCKET_GROUPS = 4096, 1024
 _LOADS = ("bytes", "tokens", "rows")
 
 
-def pack(loads: np.ndarray, bins: int, weights: tuple[float, ...] = (128.0, 1.0, 1.0)) -> np.ndarray:
+def pack(loads: np.ndarray, bins: int, weights: tuple[float, ...] = (256.0, 1.0, 1.0)) -> np.ndarray:
     """The bin of each item, largest first, by the highest dot product with the residual capacities (an equal share each)."""
     unit = loads.sum(0) / bins
     x = loads / np.where(unit > 0, unit, 1)
