@@ -14,15 +14,15 @@ from pyspark.sql import functions as F
 
 from .common import discard, staged
 
-#: Runs of ASCII digits, ASCII letters and everything beyond ASCII.
-TOKEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What stands between words, which are runs of ASCII digits, ASCII letters and everything beyond ASCII.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Tables of at most so many rows of 8 or so bytes, and files of at most so many bytes, are broadcast; larger ones are shuffled.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 24_000_000
 
 
 def _tokens(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+    return F.array_remove(F.split(text, BETWEEN), "")
 
 
 def _window(words: str, start: Column, length: Column | int) -> Column:
@@ -101,7 +101,7 @@ def overlap(docs: DataFrame, benchmark: DataFrame, window: int = 13, text_col: s
     hits = staged(found.groupBy("id", "key").agg(F.collect_set("hash").alias("hashes")), "hits")
 
     texts = d.join(_small(hits).withColumnsRenamed({"id": "hid", "key": "hkey"}), F.col("id").eqNullSafe(F.col("hid")) & F.col("key").eqNullSafe(F.col("hkey")), "left")
-    texts = texts.select("id", "key", F.coalesce(F.regexp_count("text", F.lit(TOKEN)), F.lit(0)).cast("long").alias("n_words"), "hashes", F.when(F.col("hashes").isNotNull(), F.col("text")).alias("text"))
+    texts = texts.select("id", "key", F.coalesce(F.size(_tokens(F.col("text"))), F.lit(0)).cast("long").alias("n_words"), "hashes", F.when(F.col("hashes").isNotNull(), F.col("text")).alias("text"))
     texts = _all_kept(texts.withColumn("words", _tokens(F.col("text"))), "words", lengths)
 
     def extended(n: int) -> Column:
