@@ -1 +1,8 @@
 """Operators for building language-model training data. Nothing else in the library imports this package."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions go to the executors as code, so that their Python needs no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
