@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import objects
+
 START, END = "<|im_start|>", "<|im_end|>"
 PART = "struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>"
 OUT = "formatted string, loss array<struct<start:long,end:long>>, attachments array<struct<turn:int,position:int,type:string,ref:string,tokens:long>>"
@@ -127,7 +129,8 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     @F.pandas_udf(OUT)
     def formatted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for convs in batches:
-            yield pd.DataFrame([format_turns(list(c)) for c in convs], columns=["formatted", "loss", "attachments"])
+            made = [format_turns(list(c)) for c in convs]
+            yield pd.DataFrame({k: objects([m[k] for m in made]) for k in ("formatted", "loss", "attachments")})
 
     return lists.select(conv_col, formatted("turns").alias("f")).select(conv_col, "f.*")
 
@@ -144,6 +147,6 @@ def digests(chats: DataFrame, conv_col: str = "conv_id") -> DataFrame:
                 loss = "".join(unescape(text[m["start"] : m["end"]]) for m in mask)
                 said = "".join(f"{role}\n{content}\n" for role, content in turns)
                 rows.append((len(turns), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text)))
-            yield pd.DataFrame(rows, columns=["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+            yield pd.DataFrame({k: objects([r[i] for r in rows]) for i, k in enumerate(("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"))})
 
     return chats.select(conv_col, read("formatted", "loss").alias("r")).select(conv_col, "r.*")

@@ -6,6 +6,8 @@ import re
 import tempfile
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,3 +70,10 @@ def free_name(columns: list[str], wish: str) -> str:
     while name.lower() in taken:
         name, n = f"{wish}_{n}", n + 1
     return name
+
+
+def objects(values: list) -> pd.Series:
+    """A column of Python objects, whatever pandas would infer."""
+    out = np.empty(len(values), object)
+    out[:] = values
+    return pd.Series(out, dtype=object)

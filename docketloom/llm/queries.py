@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, quality, sharding, simhash, toxicity
+from . import chat, decontaminate, embeddings, mixing, quality, sharding, simhash, toxicity
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,19 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = toxicity.score_toxicity(docs, labels, crc_mod("doc_id", 4) != 2)
     return scored.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+@query
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embeddings.similar(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", F.expr("vec_id <=> component_id").alias("kept"))
+
+
+ORACLES["op9_embeddings"] = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+g AS (SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT vec_id AS a, vec_id AS c FROM v UNION SELECT l.a, r.c FROM l JOIN r ON l.b = r.a)
+SELECT v.vec_id, CAST((SELECT count(*) FROM l WHERE l.a = v.vec_id) AS BIGINT) AS n_links, min(r.c) AS component_id, v.vec_id = min(r.c) AS kept
+FROM v JOIN r ON r.a = v.vec_id GROUP BY v.vec_id
+"""

@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import objects
 from .quality import labelled_sample
 
 _TOKEN = re.compile(r"[^\W\d_]+")
@@ -101,12 +102,12 @@ class ToxicModel:
         return [s for s in segments(self.token_scores(words)) if len(words) * math.exp(-self.decay * s[2]) <= e_value]
 
     def evidence(self, text: str | None) -> float:
-        """Minus the log of the expected number of segments as good as the best one; the others above chance add to it."""
+        """How far the best segments are beyond chance: each counts log(1 + 1 / E), E being how many as good are expected."""
         words = tokens(text)
         if not words:
             return 0.0
         worth = sorted((self.decay * s - math.log(len(words)) for _, _, s in segments(self.token_scores(words))), reverse=True)
-        return max(0.0, worth[0]) + sum(math.log1p(max(0.0, w)) for w in worth[1:4]) if worth else 0.0
+        return float(sum(np.logaddexp(0.0, w) for w in worth[:4]))
 
     def probability(self, text: str | None) -> float:
         x = self.slope * math.log1p(self.evidence(text)) + self.shift
@@ -158,7 +159,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str, learn: Column,
 
         def flush() -> pd.DataFrame:
             keys = sorted(found[0].keys() | found[1].keys())
-            out = pd.DataFrame({"key": keys, "toxic": [found[1][k] for k in keys], "clean": [found[0][k] for k in keys]})
+            out = pd.DataFrame({"key": objects(keys), "toxic": [found[1][k] for k in keys], "clean": [found[0][k] for k in keys]})
             found[0].clear()
             found[1].clear()
             return out
