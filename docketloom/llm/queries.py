@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, embeddings, mixing, quality, sharding, simhash, toxicity
+from . import chat, decontaminate, embeddings, mixing, quality, sharding, simhash, substrings, toxicity
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,20 @@ r AS (SELECT vec_id AS a, vec_id AS c FROM v UNION SELECT l.a, r.c FROM l JOIN r
 SELECT v.vec_id, CAST((SELECT count(*) FROM l WHERE l.a = v.vec_id) AS BIGINT) AS n_links, min(r.c) AS component_id, v.vec_id = min(r.c) AS kept
 FROM v JOIN r ON r.a = v.vec_id GROUP BY v.vec_id
 """
+
+
+@query
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_spans(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+ORACLES["op10_substrings"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, p, sha256(array_to_string(w[p:p + 34], ' ')) AS k FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)),
+g AS (SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY k) AS c FROM s) WHERE c > 1),
+x AS (SELECT DISTINCT r, unnest(range(p, p + 35)) AS i FROM g),
+n AS (SELECT r, count(*) AS n_removed FROM x GROUP BY r),
+k AS (SELECT a.r, string_agg(a.t, ' ' ORDER BY a.i) AS kept FROM (SELECT r, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS i FROM d) a ANTI JOIN x ON a.r = x.r AND a.i = x.i GROUP BY a.r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN k USING (r)
+"""
