@@ -158,6 +158,7 @@ def repeated_spans(docs: DataFrame, window: int = 35, gram: int = 6, text_col: s
     blocks = pieces.where("anchor is not null")
     chosen = blocks.groupBy("anchor").agg(F.min("uid").alias("uid")).join(blocks.select("anchor", "uid", "first"), ["anchor", "uid"]).groupBy("anchor").agg(F.min("uid").alias("uid"), F.min("first").alias("first"))
     references = blocks.join(chosen, ["anchor", "uid", "first"]).select("anchor", F.col("uid").alias("ref"), F.col("first").alias("ref_first"), F.col("place").alias("ref_place"), F.col("body").alias("ref_body"))
+    references = references.dropDuplicates(["anchor"])  # rows equal in id and text come out together
     pairs = blocks.join(references, "anchor").where("uid != ref or first != ref_first")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -201,7 +202,8 @@ def repeated_spans(docs: DataFrame, window: int = 35, gram: int = 6, text_col: s
                 out.append((uid, len(words) - len(kept), [{"start": a, "end": b} for a, b in gone], hashlib.sha256(b" ".join(kept)).digest()))
             yield _frame(out, ("uid", "n_removed", "gone", "kept"))
 
-    removed = staged(texts.select("uid", "text").join(spans, "uid").mapInPandas(remove, f"uid long, n_removed long, gone {span_type}, kept binary").withColumnRenamed("uid", "rep"), "removed")
+    removed = texts.select("uid", "text").join(spans, "uid").mapInPandas(remove, f"uid long, n_removed long, gone {span_type}, kept binary").withColumnRenamed("uid", "rep")
+    removed = staged(removed.dropDuplicates(["rep"]), "removed")
     discard(shared, texts, pieces, parsed)
     by_class = classes.join(removed, "rep", "left").select(F.col("key").alias("class_key"), "n", "n_removed", "gone", "kept")
     out = marks.select("id", "key", "n_words", "sha").join(by_class, F.col("key") == F.col("class_key"))
