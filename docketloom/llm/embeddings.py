@@ -24,8 +24,8 @@ from .simhash import Forest
 
 #: Vectors compared with so many others at a time.
 _BLOCK = 512
-#: Members of a shard beyond which it is cut into blocks that meet pairwise.
-HOT = 2_048
+#: Members of a shard beyond which it is cut into blocks that meet pairwise. Shards are planned to have about half as many.
+HOT = 8_192
 
 
 def _tail(x: float) -> float:
@@ -46,6 +46,7 @@ class Caps:
     dims: int
     words: int
     threshold: float
+    groups: int = 1
     seed: int = 17
 
     def books(self) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +88,8 @@ def plan_caps(n: int, dims: int, least: float = 0.9, shared: float = 16.0, per_f
     for _ in range(40):
         mid = (low + high) / 2
         low, high = (mid, high) if count * _both(mid, least) > shared else (low, mid)
-    return Caps(dims, words, low / math.sqrt(dims))
+    firsts = 0.3 * count * _tail(low)  # a vector's filters have about so many first words
+    return Caps(dims, words, low / math.sqrt(dims), math.ceil(n * firsts / words / (HOT / 2)) or 1)
 
 
 def similar(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", shared: float = 16.0) -> DataFrame:
@@ -125,10 +127,14 @@ def similar(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_id", vect
 def _shards(classes: DataFrame, caps: Caps, least: float) -> DataFrame:
     """``class``, ``links`` (rows in other classes it is first found linked with) and ``root``, for each class and shard.
 
-    A shard is the filters that begin with one word of the first codebook. A linked pair counts in the first filter the
+    A shard is the filters that begin with one word of the first codebook and end with one of a group of the second's words,
+    the fewer the more vectors there are. A linked pair counts in the first filter the
     two share and nowhere else, so that counts add up. Hot shards are cut into blocks; each pair of blocks is a task.
     """
-    dims, words = caps.dims, caps.words
+    dims, words, groups = caps.dims, caps.words, caps.groups
+
+    def shard_of(p: np.ndarray) -> np.ndarray:
+        return p // words * groups + p % words % groups
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
@@ -138,7 +144,7 @@ def _shards(classes: DataFrame, caps: Caps, least: float) -> DataFrame:
             x /= np.abs(x).max(1, keepdims=True)
             x /= np.linalg.norm(x, axis=1, keepdims=True)
             passed = caps.decode(x)
-            shards = [np.unique(p // words) for p in passed]
+            shards = [np.unique(shard_of(p)) for p in passed]
             at = np.repeat(np.arange(len(part)), [len(s) for s in shards])
             yield pd.DataFrame({"shard": np.concatenate(shards), "class": part["class"].to_numpy()[at], "n": part["n"].to_numpy()[at], "x": [x[i].tobytes() for i in at], "filters": [passed[i].astype(np.int32).tobytes() for i in at]})
 
@@ -151,12 +157,12 @@ def _shards(classes: DataFrame, caps: Caps, least: float) -> DataFrame:
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("class")
-        word, low, high = int(part["shard"].iloc[0]), int(part["low"].iloc[0]), int(part["high"].iloc[0])
+        shard, low, high = int(part["shard"].iloc[0]), int(part["low"].iloc[0]), int(part["high"].iloc[0])
         ids, n, of = part["class"].to_numpy(), part["n"].to_numpy(np.int64), part["block"].to_numpy()
         x = np.frombuffer(b"".join(part["x"]), float).reshape(len(part), dims)
         passed = [np.frombuffer(f, np.int32) for f in part["filters"]]
         forest, links = Forest(len(part)), np.zeros(len(part), np.int64)
-        here = [p[(p >= word * words) & (p < (word + 1) * words)] - word * words for p in passed]
+        here = [p[shard_of(p) == shard] for p in passed]
         rows, cols = np.repeat(np.arange(len(part)), [len(h) for h in here]), np.concatenate(here)
         order = np.argsort(cols, kind="stable")
         rows, cols = rows[order], cols[order]
@@ -171,7 +177,7 @@ def _shards(classes: DataFrame, caps: Caps, least: float) -> DataFrame:
         for c in np.unique(cols):
             own = rows[np.searchsorted(cols, c) : np.searchsorted(cols, c, "right")]
             left, right = own[of[own] == low], own[of[own] == high]
-            before = int(np.searchsorted(known, word * words + int(c)))
+            before = int(np.searchsorted(known, int(c)))
             mask = np.zeros(bits.shape[1], np.uint8)
             mask[: before >> 3] = 255
             if before & 7:
