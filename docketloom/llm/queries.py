@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, embeddings, mixing, quality, sharding, simhash, substrings, toxicity
+from . import chat, decontaminate, embeddings, mixing, quality, sharding, simhash, substrings, tokencount, toxicity
 from .common import crc_mod, table
 
+#: The vocabulary that ``op3_tokencount`` counts with; the file is public and not part of this repository.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -126,3 +128,9 @@ k AS (SELECT a.r, string_agg(a.t, ' ' ORDER BY a.i) AS kept FROM (SELECT r, unne
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN n USING (r) LEFT JOIN k USING (r)
 """
+
+
+@query
+def op3_tokencount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counter = tokencount.UnigramCounter(tokencount.vocabulary(VOCABULARY))
+    return table(spark, sf_dir, "documents").select("doc_id", tokencount.token_count(counter, F.col("text")).alias("n_tokens"))
