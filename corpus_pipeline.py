@@ -1,22 +1,58 @@
-"""The corpus pipeline: stages that each take (spark, docs, sf_dir) and return a DataFrame."""
+"""The corpus pipeline: stages that each take (spark, docs, sf_dir) and return a DataFrame.
+
+All but the last return the columns of ``documents``. Every stage works on all that its predecessor kept.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketloom.llm import quality
-from docketloom.llm.common import crc_mod, staged, table
+from docketloom.llm import decontaminate, mixing, quality, sharding, simhash
+from docketloom.llm.common import crc_mod, free_name, small, staged, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents that the quality classifier accepts."""
-    labels = table(spark, sf_dir, "labels")
-    scored = quality.score_quality(docs, labels, crc_mod("doc_id", 5) != 0)
+    """Documents that the quality classifier rejects go."""
+    scored = quality.score_quality(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 5) != 0)
     return scored.where("predicted = 1").select(docs.columns)
 
 
-STAGES = [("quality classifier", quality_stage)]
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: the one with the least id. Documents without an id stay, too,
+    unless one with an id is like them; of repeated rows all or none stay."""
+    marked = simhash.near_duplicates(docs)
+    stays = F.max(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = staged(marked.groupBy(F.col("doc_id").alias("gone_id")).agg(stays.alias("stays")).where("not stays").select("gone_id"), "near_copies")
+    return docs.join(small(gone), docs["doc_id"].eqNullSafe(F.col("gone_id")), "left_anti").select(docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark's windows in a twentieth of their words or more go."""
+    found = decontaminate.overlap(docs, table(spark, sf_dir, "benchmark"))
+    bad = staged(found.where(decontaminate.contaminated()).select(F.col("doc_id").alias("bad_id")).distinct(), "contaminated")
+    return docs.join(small(bad), docs["doc_id"].eqNullSafe(F.col("bad_id")), "left_anti").select(docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources are brought to their target weights: a document is left out or comes up to three times."""
+    size = free_name(docs.columns, "size")
+    mixed = mixing.mix(docs.withColumn(size, mixing.word_count(F.col("text"))), size_col=size)
+    return mixing.repeated(mixed, docs.columns, free_name(docs.columns, "copies"))
+
+
+def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row gets a shard and a place in it."""
+    return sharding.shard(docs)
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("SimHash near-dedup", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("mixing to target weights", mixing_stage),
+    ("sharding", sharding_stage),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,5 +65,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: The classifier and the mixing can't be said in SQL; the stages are tested against brute force instead.
+#: The classifier, SimHash and the mixing can't be said in SQL; tests/llm compares the stages with brute force instead.
 ORACLE_SQL = None

@@ -54,6 +54,14 @@ def discard(*tables: DataFrame) -> None:
             p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def small(df: DataFrame, most: int = 24_000_000) -> DataFrame:
+    """A staged table, to be broadcast if its files have ``most`` bytes or fewer; else as it is, for a shuffled join."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._docketloom_path)
+    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return F.broadcast(df) if size <= most else df
+
+
 def lower_az(text: str) -> bytes:
     """UTF-8 of the text with A-Z, and no other letters, in lower case."""
     return text.encode("utf-8", "replace").lower()

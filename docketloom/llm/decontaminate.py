@@ -12,13 +12,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, staged
+from .common import discard, small, staged
 
 #: What stands between words, which are runs of ASCII digits, ASCII letters and everything beyond ASCII.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Tables of at most so many rows of 8 or so bytes, and files of at most so many bytes, are broadcast; larger ones are shuffled.
-BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 24_000_000
+#: Tables of at most so many rows of 8 or so bytes are broadcast; larger ones are shuffled.
+BROADCAST_ROWS = 1_000_000
 
 
 def _tokens(text: Column) -> Column:
@@ -100,7 +100,7 @@ def overlap(docs: DataFrame, benchmark: DataFrame, window: int = 13, text_col: s
     found = kept.select("id", "key", F.explode(F.array_distinct(F.concat(*[F.col(f"kept{n}") for n in lengths]))).alias("hash")).join(few(marks), "hash", "left_semi")
     hits = staged(found.groupBy("id", "key").agg(F.collect_set("hash").alias("hashes")), "hits")
 
-    texts = d.join(_small(hits).withColumnsRenamed({"id": "hid", "key": "hkey"}), F.col("id").eqNullSafe(F.col("hid")) & F.col("key").eqNullSafe(F.col("hkey")), "left")
+    texts = d.join(small(hits).withColumnsRenamed({"id": "hid", "key": "hkey"}), F.col("id").eqNullSafe(F.col("hid")) & F.col("key").eqNullSafe(F.col("hkey")), "left")
     texts = texts.select("id", "key", F.coalesce(F.size(_tokens(F.col("text"))), F.lit(0)).cast("long").alias("n_words"), "hashes", F.when(F.col("hashes").isNotNull(), F.col("text")).alias("text"))
     texts = _all_kept(texts.withColumn("words", _tokens(F.col("text"))), "words", lengths)
 
@@ -113,7 +113,7 @@ def overlap(docs: DataFrame, benchmark: DataFrame, window: int = 13, text_col: s
     theirs = theirs.select("item", "n", F.explode(F.transform(F.sequence(F.lit(1), F.size("words") - F.col("n") + 1), lambda i: _window("words", i, F.col("n")))).alias("words"))
     theirs = staged(theirs.groupBy("n", "words").agg(F.collect_set("item").alias("items")), "item_windows")
     ours = wide.select("id", "key", F.explode("windows").alias("w")).select("id", "key", "w.at", "w.len", "w.words").distinct()
-    shared = ours.join(_small(theirs), (ours["len"] == theirs["n"]) & (ours["words"] == theirs["words"]))
+    shared = ours.join(small(theirs), (ours["len"] == theirs["n"]) & (ours["words"] == theirs["words"]))
     runs = F.aggregate(
         F.array_sort(F.collect_list(F.struct("at", "len"))), F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("sum")),
         lambda s, x: F.struct(F.greatest(s["end"], x["at"] + x["len"]).alias("end"), (s["sum"] + F.greatest(F.lit(0), x["at"] + x["len"] - F.greatest(s["end"], x["at"]))).alias("sum")),
@@ -124,14 +124,6 @@ def overlap(docs: DataFrame, benchmark: DataFrame, window: int = 13, text_col: s
     return out.select(F.col("id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """A staged table, to be broadcast if its files are small."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df._docketloom_path)
-    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df
-
-
 def contaminated(n_hit: str = "n_hit", n_words: str = "n_words") -> Column:
     """At least one word is hit, and at least a twentieth of all."""
     return (F.col(n_hit) > 0) & (20 * F.col(n_hit) >= F.col(n_words))
