@@ -14,6 +14,8 @@ OUTCOMES = {"Discontinued": "notice of discontinuance", "Granted": "granted|allo
 RULE_9 = "rule 9"
 LEAVE = "leave granted"
 JUDGE = r"(?i)before (?:the honourable )?(?:mr\.|madam|mme)?\s*justice ([A-Z][\w'-]+)"
+#: What packing dates into longs takes: the date of undated entries, an offset that makes days positive, the most offices.
+_NO_DATE, _SHIFT, _OFFICES = "9999-12-31", 1_000_000, 63
 VISA_OFFICES = ["Beijing", "Ankara", "New Delhi", "Lagos"]
 
 
@@ -29,31 +31,36 @@ def clean(cases: DataFrame, drop: bool = True) -> DataFrame:
 def facts(cases: DataFrame, entries: DataFrame, mandamus: str = MANDAMUS, outcomes: dict[str, str] = OUTCOMES, offices: list[str] = VISA_OFFICES) -> DataFrame:
     """One row for each case: its type, status and outcome date, visa office, judge, Rule 9 date and whether leave was granted.
 
-    One aggregate over the entries, combined before the shuffle, gathers all marks. The status of highest rank wins, and the
-    outcome is dated by the earliest entry with that status; an undated entry still gives the status. The visa office and the
-    judge are those of the earliest entry that names one."""
-    rank = F.lit(None).cast("int")
-    for k, (_, words) in reversed(list(enumerate(outcomes.items(), 1))):
-        rank = F.when(_says("summary", words), k).otherwise(rank)
-    office = F.coalesce(*[F.when(_says("summary", rf"\b{o}\b"), F.lit(o)) for o in offices])
-    judge = F.nullif(F.regexp_extract("summary", JUDGE, 1), F.lit(""))
-    marked = entries.select("case_id", "entry_date", "doc_id", "summary", rank.alias("rank"), office.alias("office"), judge.alias("judge"), _says("summary", mandamus).alias("mandamus"), _says("summary", RULE_9).alias("rule9"), _says("summary", LEAVE).alias("leave"))
-    far = F.to_date(F.lit("9999-12-31"))
-    when = F.coalesce("entry_date", far)
-    per = marked.groupBy("case_id").agg(
-        F.min(F.when(F.col("rank").isNotNull(), F.struct("rank", when.alias("at")))).alias("outcome"),
-        F.max("mandamus").alias("in_entries"), F.min(F.when(F.col("rule9"), F.col("entry_date"))).alias("rule9_date"), F.max("leave").alias("leave_granted"),
-        F.min(F.when(F.col("office").isNotNull(), F.struct(when.alias("at"), "doc_id", F.col("office").alias("name")))).alias("visa"),
-        F.min(F.when(F.col("judge").isNotNull(), F.struct(when.alias("at"), "doc_id", F.col("judge").alias("name")))).alias("ruling"),
-    )
+    The status of highest rank wins, and the outcome is dated by the earliest entry with that status; an undated entry still
+    gives the status. The visa office and the judge are those of the earliest entry that names one; undated entries come last.
+
+    One hash aggregate over the entries, combined before the shuffle, gathers all marks but the judge's: rank and date, and
+    date, ordinal and office, are packed into longs whose least value is wanted, so that no sort is needed. Entries that name
+    a judge are few and are gathered by themselves."""
+    if len(offices) > _OFFICES:
+        raise ValueError(f"more than {_OFFICES} visa offices")
+    rank, office = F.lit(None).cast("long"), F.lit(None).cast("long")
+    for k, words in reversed(list(enumerate(outcomes.values(), 1))):
+        rank = F.when(_says("summary", words), F.lit(k).cast("long")).otherwise(rank)
+    names = sorted(offices)
+    for k, name in reversed(list(enumerate(names))):
+        office = F.when(_says("summary", rf"\b{name}\b"), F.lit(k).cast("long")).otherwise(office)
+    days = (F.datediff(F.coalesce("entry_date", F.to_date(F.lit(_NO_DATE))), F.to_date(F.lit("1970-01-01"))) + _SHIFT).cast("long")
+    ordinal = F.greatest(F.coalesce(F.col("doc_id").cast("long"), F.lit(2**31 - 1)), F.lit(0))
+    marked = entries.select("case_id", "entry_date", (rank * 2**32 + days).alias("outcome"), ((days * 2**31 + ordinal) * (_OFFICES + 1) + office).alias("visa"), _says("summary", mandamus).alias("mandamus"), _says("summary", RULE_9).alias("rule9"), _says("summary", LEAVE).alias("leave"))
+    per = marked.groupBy("case_id").agg(F.min("outcome").alias("outcome"), F.min("visa").alias("visa"), F.max("mandamus").alias("in_entries"), F.min(F.when(F.col("rule9"), F.col("entry_date"))).alias("rule9_date"), F.max("leave").alias("leave_granted"))
+    named = entries.select("case_id", "entry_date", "doc_id", F.regexp_extract("summary", JUDGE, 1).alias("judge")).where("judge != ''")
+    ruled = named.groupBy("case_id").agg(F.min(F.struct(F.coalesce("entry_date", F.to_date(F.lit(_NO_DATE))).alias("at"), "doc_id", "judge")).alias("ruling"))
     status = F.lit("Ongoing")
     for k, name in enumerate(outcomes, 1):
-        status = F.when(F.col("outcome.rank") == k, name).otherwise(status)
-    joined = cases.select("case_id", "style_of_cause", "filing_date", F.col("office").alias("court_office")).join(per, "case_id", "left")
+        status = F.when(F.floor(F.col("outcome") / 2**32) == k, name).otherwise(status)
+    at = F.date_add(F.to_date(F.lit("1970-01-01")), (F.col("outcome") % 2**32 - _SHIFT).cast("int"))
+    visa = F.get(F.array(*map(F.lit, names)), (F.col("visa") % (_OFFICES + 1)).cast("int")) if names else F.lit(None).cast("string")
+    joined = cases.select("case_id", "style_of_cause", "filing_date", F.col("office").alias("court_office")).join(per, "case_id", "left").join(ruled, "case_id", "left")
     return joined.select(
-        "case_id", "style_of_cause", "filing_date", "court_office", F.col("visa.name").alias("visa_office"),
+        "case_id", "style_of_cause", "filing_date", "court_office", visa.alias("visa_office"),
         F.when(_says("style_of_cause", mandamus) | F.coalesce("in_entries", F.lit(False)), "Mandamus").otherwise("Other").alias("case_type"),
-        status.alias("status"), F.nullif(F.col("outcome.at"), far).alias("outcome_date"), F.col("ruling.name").alias("judge"), "rule9_date", F.coalesce("leave_granted", F.lit(False)).alias("leave_granted"),
+        status.alias("status"), F.nullif(at, F.to_date(F.lit(_NO_DATE))).alias("outcome_date"), F.col("ruling.judge").alias("judge"), "rule9_date", F.coalesce("leave_granted", F.lit(False)).alias("leave_granted"),
     )
 
 

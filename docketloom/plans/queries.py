@@ -324,7 +324,8 @@ def html_header_roundtrip(s, d):
     bold = [x for label, v in parts[:3] for x in (F.lit(f"<p><strong>{label} :</strong> "), v, F.lit("</p>\n"))]
     dl = [x for label, v in parts[3:5] for x in (F.lit(f"<dt>{label}:</dt><dd>"), v, F.lit("</dd>"))]
     td = [x for label, v in parts[5:] for x in (F.lit(f"<table><tr><td>{label}</td><td>"), v, F.lit("</td></tr></table>"))]
-    found = cases(s, d).select(html.header_fields(F.concat(F.lit("<h4 class='modal-title'>x</h4><br>"), *bold, F.lit("<dl>"), *dl, F.lit("</dl>"), *td)).alias("h")).select("h.*")
+    pages = cases(s, d).select(F.concat(F.lit("<h4 class='modal-title'>x</h4><br>"), *bold, F.lit("<dl>"), *dl, F.lit("</dl>"), *td).alias("html"))
+    found = pages.select(html.header_fields("html").alias("h")).select("h.*")
     both = html.office_and_language("office", "language")
     return found.select("case_id", "case_type", "action_type", dates.header_date("filing_date").alias("filing_date"), both["office"].alias("office"), "style_of_cause", both["language"].alias("language"))
 
