@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import objects
+from .common import bounded_batches, objects
 
 START, END = "<|im_start|>", "<|im_end|>"
 PART = "struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>"
@@ -124,7 +124,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     empty one; null parts are an empty text; repeated rows are turns of their own. A conversation is one output record
     and has to fit into a task; partial lists are gathered before the shuffle. Other columns play no part.
     """
-    lists = turns.groupBy(F.col(conv_col).alias(conv_col)).agg(F.array_sort(F.collect_list(F.struct(F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(parts_col).alias("parts")))).alias("turns"))
+    lists = bounded_batches(turns).groupBy(F.col(conv_col).alias(conv_col)).agg(F.array_sort(F.collect_list(F.struct(F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(parts_col).alias("parts")))).alias("turns"))
 
     @F.pandas_udf(OUT)
     def formatted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -24,6 +24,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of text that go to a Python worker at a time, and bytes where Spark can bound them.
+BATCH_ROWS, BATCH_BYTES = 2_000, 32 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches kept small enough for long texts; lower settings stay as they are."""
+    conf = df.sparkSession.conf
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{key}"
+        now = conf.get(name, None)
+        if now is not None and not 0 < int(now.rstrip("bB")) <= most:
+            conf.set(name, str(most))
+    return df
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of the cluster (``spark.checkpoint.dir``); a temporary one only where none is set, as in tests."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)

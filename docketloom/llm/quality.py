@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES
+from .common import WORD_BYTES, bounded_batches
 
 FEATURES = (
     "chars", "words", "word_len", "distinct_words", "top_word", "repeat_next", "distinct_pairs", "upper", "digits", "marks", "symbols",
@@ -180,7 +180,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: int = 12_000, text_col: str = "text", id_col: str = "doc_id") -> AdditiveModel:
     """Fit the model on a bounded sample of labelled documents (``bound`` rows at most), whose features alone reach the driver."""
-    sample = labelled_sample(docs, labels, label, learn, bound, id_col).select(F.col(text_col).alias("text"), "__label")
+    sample = labelled_sample(bounded_batches(docs), labels, label, learn, bound, id_col).select(F.col(text_col).alias("text"), "__label")
 
     def numbers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
@@ -210,5 +210,5 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, threshold:
     Inputs of the score are numbers about the text alone. Null and empty texts are scored like any other; repeated rows
     get equal scores; without usable labels every text gets the same score.
     """
-    model = fit_quality(docs, labels, label, learn, bound)
+    model = fit_quality(bounded_batches(docs), labels, label, learn, bound)
     return docs.withColumn(score_col, quality_score(model, F.col("text"))).withColumn(predicted_col, (F.col(score_col) >= threshold).cast("int"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, decontaminate, embeddings, mixing, quality, sharding, simhash, substrings, tokencount, toxicity
-from .common import crc_mod, table
+from .common import bounded_batches, crc_mod, table
 
 #: The vocabulary that ``op3_tokencount`` counts with; the file is public and not part of this repository.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -133,4 +133,4 @@ FROM d LEFT JOIN n USING (r) LEFT JOIN k USING (r)
 @query
 def op3_tokencount(spark: SparkSession, sf_dir: str) -> DataFrame:
     counter = tokencount.UnigramCounter(tokencount.vocabulary(VOCABULARY))
-    return table(spark, sf_dir, "documents").select("doc_id", tokencount.token_count(counter, F.col("text")).alias("n_tokens"))
+    return bounded_batches(table(spark, sf_dir, "documents")).select("doc_id", tokencount.token_count(counter, F.col("text")).alias("n_tokens"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, staged
+from .common import bounded_batches, free_name, staged
 from .mixing import word_count
 
 #: A group beyond this part of a shard, in bytes, tokens or rows, is split; one beyond the second part is packed by itself.
@@ -46,7 +46,7 @@ def shard(docs: DataFrame, shards: int = 24, text_col: str = "text", id_col: str
     A null text has no bytes and no tokens; null texts are equal texts. Null and repeated ids and repeated rows are rows
     like any other. An empty table gives an empty one.
     """
-    spark = docs.sparkSession
+    spark = bounded_batches(docs).sparkSession
     keep = docs.columns if keep is None else keep
     new = [free_name(keep, c) for c in ("size", "shard", "slot")]
     group = F.struct(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("a"), F.xxhash64(F.lit("second"), F.col(text_col)).alias("b"))

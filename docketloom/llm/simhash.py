@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, lower_az, staged
+from .common import WORD_BYTES, bounded_batches, lower_az, staged
 from .graph import connected_components
 
 _hash = partial(xxhash.xxh64_intdigest, seed=42)
@@ -51,7 +51,7 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", out_col: str = "fp
         for texts in batches:
             yield pd.Series(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))
 
-    return docs.withColumn(out_col, of(F.col(text_col)))
+    return bounded_batches(docs).withColumn(out_col, of(F.col(text_col)))
 
 
 def vantage_points(n: int) -> list[int]:
@@ -59,6 +59,12 @@ def vantage_points(n: int) -> list[int]:
     return [int(np.uint64(_hash(b"vantage %d" % k)).view(np.int64)) for k in range(n)]
 
 
+def vantages_for(n: int) -> int:
+    """How many fixed vantage points ``n`` fingerprints take. One more makes about five times as many shards and about four
+    times as many visits, so that shards get a little smaller and the pairs left to compare much fewer."""
+    return 2 + (n > 2e7) + (n > 2e9)
+
+
 class Forest:
     """Union of the nodes 0..n-1 by arrays of pairs; a root is the least node of its tree."""
 
@@ -143,8 +149,8 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     An empty table gives an empty one; other columns are ignored, whatever their names.
     """
     marked = staged(with_fingerprint(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")), "t", "fp", shingle).select("id", "fp"), "fingerprints")
-    least = marked.groupBy("fp").agg(F.min("id").alias("least"))
-    roots = connected_components(staged(close_edges(least.select("fp"), radius), "close"))
+    least = staged(marked.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
+    roots = connected_components(staged(close_edges(least.select("fp"), radius, vantages_for(least.count())), "close"))
     joined = least.join(roots, least["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     names = joined.join(named, "root").select("fp", "component_id")

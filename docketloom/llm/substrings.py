@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, discard, objects, staged
+from .common import WORD_BYTES, bounded_batches, discard, objects, staged
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 #: Texts remembered in a task to pass over copies early, and spans of references to pass over repeats.
@@ -95,7 +95,7 @@ def repeated_spans(docs: DataFrame, window: int = 35, gram: int = 6, text_col: s
     short texts have no windows. Null and repeated ids and repeated rows are rows like any other. An empty table gives an
     empty one; other columns play no part.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = bounded_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[bytes] = set()

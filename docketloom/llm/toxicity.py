@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import objects
+from .common import bounded_batches, objects
 from .quality import labelled_sample
 
 _TOKEN = re.compile(r"[^\W\d_]+")
@@ -152,7 +152,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-3) -> tuple[float, fl
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: int = 20_000, vocabulary: int = 50_000, least: float = 1.5, drift: float = -0.5, text_col: str = "text", id_col: str = "doc_id") -> ToxicModel:
     """Learn from at most ``bound`` labelled documents; keep at most the ``vocabulary`` most telling tokens and beginnings
     whose log-odds are, with confidence, ``least`` or more: that lower bound is their score. Counting and calibration run on the executors over the sample's whole texts."""
-    sample = labelled_sample(docs, labels, label, learn, bound, id_col).select(F.col(text_col).alias("text"), (F.col("__label") > 0).alias("toxic"))
+    sample = labelled_sample(bounded_batches(docs), labels, label, learn, bound, id_col).select(F.col(text_col).alias("text"), (F.col("__label") > 0).alias("toxic"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: tuple[Counter, Counter] = Counter(), Counter()
