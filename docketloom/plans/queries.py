@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, html, ids
-from ..operators import lookup, mining, purge, runs, store, validate
+from ..operators import lookup, mining, purge, records, runs, store, validate
 from ..schema import resolve_aliases
 from ..sources import readers, sinks
 from . import adapters
@@ -199,6 +199,37 @@ def alias_resolved(s, d):
     return resolve_aliases(legacy, keep_missing=False)
 
 
+@query(E + "SELECT CAST(NULL AS INT) AS id, case_id, coalesce(CASE WHEN doc_id % 3 <> 0 THEN doc_id END, 0) AS doc_id, CASE WHEN doc_id % 2 = 0 THEN entry_date END AS entry_date, entry_office, summary FROM entries")
+def entries_from_records(s, d):
+    loose = entries(s, d).select(F.col("case_id").alias("court_file_no"), F.when(F.col("doc_id") % 3 != 0, F.col("doc_id").cast("string")).otherwise("").alias("id_from_table"), F.when(F.col("doc_id") % 2 == 0, F.date_format("entry_date", "yyyyMMdd")).otherwise(F.date_format("entry_date", "dd.MM.yyyy")).alias("date_filed"), F.col("entry_office").alias("office"), F.col("summary").alias("recorded_entry_summary"))
+    return records.entries_from_records(loose)
+
+
+@query(C + "SELECT case_id AS court_file_no, style_of_cause AS title, office AS court FROM cases")
+def legacy_names(s, d):
+    return records.legacy_names(cases(s, d))
+
+
+@query(C + "SELECT case_id, style_of_cause, office AS nature_of_proceeding FROM cases")
+def search_rows(s, d):
+    cells = F.array(F.lit("1"), F.concat(F.lit(" "), "style_of_cause"), "case_id", "office")
+    headings = F.array(*map(F.lit, ("#", "Style of Cause", "Court File No.", "Nature of Proceeding")))
+    return cases(s, d).select(records.search_row(headings, cells).alias("r")).select("r.*")
+
+
+@query(C + "SELECT case_id, style_of_cause, case_type AS nature_of_proceeding FROM cases")
+def free_text_fields(s, d):
+    text = F.concat(F.lit("Court file "), "case_id", F.lit(" - Style of Cause: "), "style_of_cause", F.lit("  Nature of Proceeding: "), "case_type")
+    return cases(s, d).select(records.free_text_fields(text).alias("r")).select("r.*")
+
+
+@query(C + f"SELECT case_id, coalesce(nullif(CASE WHEN {_SEQ3} % 2 = 0 THEN office ELSE '' END, ''), style_of_cause) AS style_of_cause FROM cases")
+def filled_headers(s, d):
+    c = cases(s, d)
+    header = c.select("case_id", F.when(ids.sequence_of("case_id") % 2 == 0, F.col("office")).otherwise("").alias("style_of_cause"))
+    return records.fill_from(header, c.select("case_id", "style_of_cause"), ("style_of_cause",))
+
+
 # --- purge ----------------------------------------------------------------------------------------------------------
 
 _GONE = "(year(filing_date) = 2027 OR " + _SUFFIX.format("case_id") + " = 2027)"
@@ -553,6 +584,7 @@ TIMES = {
     "cases_without_entries": ["filing_date"],
     "case_dict": ["date"],
     "entry_dict": ["entry_date"],
+    "entries_from_records": ["entry_date"],
     "alias_resolved": ["filing_date"],
     "purge_kept_cases": ["filing_date"],
     "purge_kept_entries": ["entry_date"],

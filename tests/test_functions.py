@@ -91,3 +91,20 @@ def test_entries_of_the_largest_body(spark):
 def test_empty_text_counts_as_missing(spark):
     df = spark.createDataFrame([("", "IMM-1-25", "a"), (None, "IMM-2-25", ""), ("IMM-3-25", "x", None)], "case_id string, court_file_no string, title string")
     assert [tuple(r) for r in resolve_aliases(df, keep_missing=False).collect()] == [("IMM-1-25", "a"), ("IMM-2-25", None), ("IMM-3-25", None)]
+
+
+def test_columns_go_by_equal_headers_then_by_longest_words(spark):
+    def at(headers, keys):
+        df = spark.createDataFrame([(headers,)], "h array<string>")
+        return df.select(html.column_of(F.col("h"), keys).alias("v")).first()["v"]
+
+    assert at(["Recorded on", "Document Date", "Date"], html.DATE_KEYS) == 1
+    assert at(["#", "The court office here", "Office"], html.OFFICE_KEYS) == 2
+    assert at(["#", "x", "Their registry or office"], html.OFFICE_KEYS) == 2
+    assert at(["#", "x"], html.OFFICE_KEYS) is None
+
+
+def test_bold_paragraphs_outrank_later_sources_of_the_same_field(spark):
+    page = "<p><strong>Language :</strong> French</p><dl><dt>Office</dt><dd>Toronto</dd><dt>Language</dt><dd>English</dd></dl><table><tr><td>Office</td><td>Ottawa</td></tr></table>"
+    got = one(spark, html.header_fields("h"), h=page)
+    assert (got["office"], got["language"]) == ("Toronto", "French")

@@ -135,3 +135,24 @@ def test_checks(spark):
     urls = [("https://www.fct-cf.ca/en/court-files-and-decisions/IMM-1-22", True), ("", False), ("not-a-url", False), ("https://example.com/en/court-files-and-decisions", False), ("https://www.fct-cf.ca/efiling/login", False), ("https://www.fct-cf.ca/en/court-files-and-decisions/login", False), (None, False), ("http://[bad", False)]
     got = spark.createDataFrame([(u,) for u, _ in urls], "url string").select(validate.valid_url("url").alias("v")).collect()
     assert [r["v"] for r in got] == [v for _, v in urls]
+
+
+def test_records(spark):
+    from docketloom.operators import records
+
+    loose = spark.createDataFrame([("7", "IMM-1-25", "3", "2025-01-02", "O", "s"), (None, "IMM-1-25", "", "02/01/2025", None, None), ("x", "IMM-1-25", "y", None, "", "t")], "id string, court_file_no string, id_from_table string, date_filed string, office string, recorded_entry_summary string")
+    assert [tuple(r) for r in records.entries_from_records(loose).collect()] == [(7, "IMM-1-25", 3, date(2025, 1, 2), "O", "s"), (None, "IMM-1-25", 0, None, None, None), (None, "IMM-1-25", 0, None, None, "t")]
+    head = spark.createDataFrame([("a", "", None, "x"), ("b", "own", "n", "y")], "case_id string, style_of_cause string, nature_of_proceeding string, secret string")
+    found = spark.createDataFrame([("a", "from search", "nature"), ("b", "other", "other")], "case_id string, style_of_cause string, nature_of_proceeding string")
+    assert rows(records.allowed(records.fill_from(head, found))) == [("a", "nature", "from search"), ("b", "n", "own")]
+    assert rows(records.legacy_names(head.withColumn("office", F.lit(None).cast("string")))) == [("a", "", ""), ("b", "own", "")]
+    row = spark.createDataFrame([(["Style of Cause", "Court File No.", "X"], ["A v B", "IMM-1-25", "appeal"]), ([], ["IMM-2-25", "C v D"])], "h array<string>, c array<string>").select(records.search_row("h", "c").alias("r"), records.longest_and_shortest("c").alias("l")).collect()
+    assert tuple(row[0]["r"]) == ("IMM-1-25", "A v B", "appeal") and tuple(row[1]["r"]) == ("IMM-2-25", "C v D", None)
+    assert tuple(row[0]["l"]) == ("IMM-1-25", "A v B", "appeal")
+    texts = [("IMM-5-25 Style of Cause: X v Y  Nature of Proceeding: review", ("IMM-5-25", "X v Y", "review")), ("IMM-5-25 - X v Y nature of proceeding - review", ("IMM-5-25", "X v Y", "review")), ("nothing", (None, None, None))]
+    assert [tuple(r[0]) for r in spark.createDataFrame([(t,) for t, _ in texts], "t string").select(records.free_text_fields("t")).collect()] == [w for _, w in texts]
+    pages = spark.createDataFrame([("u", "<p>")], "url string, html string")
+    assert rows(records.cases_from_pages(pages, F.lit("IMM-1-25"), F.lit("t"), F.lit("c"), F.lit("2025-01-01"))) == [("IMM-1-25", "t", "c", date(2025, 1, 1), "u", "<p>")]
+    stored = spark.createDataFrame([("a", "old")], "case_id string, office string")
+    plan = records.export_plan(spark.createDataFrame([("a", "new"), ("", "bad"), ("b", "x")], "case_id string, office string"), stored, F.lit("2025-01-02 03:04:05").cast("timestamp"))
+    assert rows(plan["cases"]) == [("a", "new"), ("b", "x")] and plan["rejected"].count() == 1 and tuple(plan["totals"].first()) == (2, 1, 1, 1) and plan["file"].first()["name"] == "cases_export_20250102_030405.json"
