@@ -69,7 +69,7 @@ def discard(*tables: DataFrame) -> None:
             p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def small(df: DataFrame, most: int = 24_000_000) -> DataFrame:
+def small(df: DataFrame, most: int = 8_000_000) -> DataFrame:
     """A staged table, to be broadcast if its files have ``most`` bytes or fewer; else as it is, for a shuffled join."""
     spark = df.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(df._docketloom_path)
