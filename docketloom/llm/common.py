@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 #: Rows of text that go to a Python worker at a time, and bytes where Spark can bound them.
-BATCH_ROWS, BATCH_BYTES = 2_000, 32 << 20
+BATCH_ROWS, BATCH_BYTES = 1_000, 8 << 20
 
 
 def bounded_batches(df: DataFrame) -> DataFrame:
