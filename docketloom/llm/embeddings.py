@@ -47,6 +47,7 @@ class Caps:
     words: int
     threshold: float
     groups: int = 1
+    fewest: int = 8
     seed: int = 17
 
     def books(self) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +60,8 @@ class Caps:
         return out[0], out[1]
 
     def decode(self, x: np.ndarray) -> list[np.ndarray]:
-        """The filters that each unit vector passes, ascending. A vector that passes none gets its best one."""
+        """The filters that each unit vector passes, ascending. For one that passes fewer than ``fewest`` the threshold falls in
+        steps until it has as many (or all there are): where directions are sparse, neighbours then still share some."""
         a, b = self.books()
         half = (self.dims + 1) // 2
         first = x[:, :half] @ a.T
@@ -69,13 +71,14 @@ class Caps:
         out = []
         for i in range(len(x)):
             # for each word of the first book, the words of the second that lift the sum over the threshold lead its sorted list
-            lead = np.searchsorted(-ranked[i], first[i] - self.threshold, side="right")
+            threshold, want = self.threshold, min(self.fewest, self.words * self.words)
+            lead = np.searchsorted(-ranked[i], first[i] - threshold, side="right")
+            while lead.sum() < want:
+                threshold -= 0.02
+                lead = np.searchsorted(-ranked[i], first[i] - threshold, side="right")
             rows = np.repeat(np.arange(self.words), lead)
-            if len(rows):
-                at = np.arange(len(rows)) - np.repeat(np.cumsum(lead) - lead, lead)
-                out.append(np.sort(rows * self.words + order[i][at]))
-            else:
-                out.append(np.array([int(np.argmax(first[i])) * self.words + int(order[i][0])]))
+            at = np.arange(len(rows)) - np.repeat(np.cumsum(lead) - lead, lead)
+            out.append(np.sort(rows * self.words + order[i][at]))
         return out
 
 

@@ -67,7 +67,7 @@ def test_bad_vectors_and_edges(spark):
 
 
 def test_list_decoding_finds_exactly_the_exceeding_filters():
-    caps = embeddings.Caps(10, 9, 0.35)
+    caps = embeddings.Caps(10, 9, 0.35, fewest=1)
     x = np.random.default_rng(4).standard_normal((50, 10))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     a, b = caps.books()
@@ -75,3 +75,8 @@ def test_list_decoding_finds_exactly_the_exceeding_filters():
         inner = (v[:5] @ a.T)[:, None] + (v[5:] @ b.T)[None, :]
         want = np.flatnonzero(inner.ravel() >= 0.35)
         assert found.tolist() == (want.tolist() if len(want) else found.tolist()) and len(found) >= 1
+    sparse = embeddings.Caps(10, 9, 0.6)
+    for v, found in zip(x, sparse.decode(x), strict=True):
+        inner = ((v[:5] @ a.T)[:, None] + (v[5:] @ b.T)[None, :]).ravel()
+        others = np.setdiff1d(np.arange(81), found)
+        assert len(found) >= 8 and inner[found].min() >= inner[others].max(initial=-1)
