@@ -65,8 +65,8 @@ def export_year(case_id: Column | str, filing: Column | str, scraped: Column | s
 
 def file_stem(case_id: Column | str, filing: Column | str, scraped: Column | str, today: Column) -> Column:
     """``<id>-<yyyymmdd>``; the date is the first of the year if the number gave it."""
-    day = F.coalesce(F.format_string("%d0101", strict_year(case_id)), F.date_format(F.coalesce(_c(filing).cast("date"), _c(scraped).cast("date"), today), "yyyyMMdd"))
-    day = F.when(strict_year(case_id).isNotNull(), F.format_string("%d0101", strict_year(case_id))).otherwise(day)
+    year, known = strict_year(case_id), F.coalesce(_c(filing).cast("date"), _c(scraped).cast("date"), today)
+    day = F.when(year.isNotNull(), F.format_string("%d0101", year)).otherwise(F.date_format(known, "yyyyMMdd"))
     return F.concat(plain_name(case_id), F.lit("-"), day)
 
 

@@ -140,10 +140,8 @@ target AS (SELECT case_id, doc_id, entry_date, entry_office, 'old ' || summary A
 
 def _entry_store(s, d):
     e = entries(s, d)
-    keys = ["case_id", "doc_id"]
-    target = store.newest(e.withColumns({"entry_date": F.col("entry_date")}), keys).select(e.columns).limit(0)
-    target = store.insert_entries(target, e).where("doc_id <= 2").withColumn("summary", F.concat(F.lit("old "), "summary"))
-    return target, e
+    target = store.insert_entries(e.where("false"), e).where("doc_id <= 2")
+    return target.withColumn("summary", F.concat(F.lit("old "), "summary")), e
 
 
 @query(_IGNORE + "SELECT * FROM target UNION ALL SELECT * FROM first f WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.case_id = f.case_id AND t.doc_id = f.doc_id)")
