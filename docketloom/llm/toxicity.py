@@ -55,21 +55,24 @@ class _Scores(dict):
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (first, end, score), in one pass over the positive scores (Ruzzo and Tompa's scan)."""
+    """All maximal scoring segments (first, end, score), in one pass over the positive scores (Ruzzo and Tompa's scan).
+
+    Each segment keeps the place of the last one before it with a smaller sum before; the search goes by these links
+    and so takes linear time in all, however many segments there are."""
     total = np.concatenate([[0.0], np.cumsum(scores)])
-    stack: list[list] = []  # first, end, sum before, sum after
+    stack: list[tuple] = []  # first, end, sum before, sum after, link
     for i in np.flatnonzero(scores > 0).tolist():
-        new = [i, i + 1, total[i], total[i + 1]]
+        first, left, right, j = i, total[i], total[i + 1], len(stack) - 1
         while True:
-            j = len(stack) - 1
-            while j >= 0 and stack[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or stack[j][3] >= new[3]:
-                stack.append(new)
+            while j >= 0 and stack[j][2] >= left:
+                j = stack[j][4]
+            if j < 0 or stack[j][3] >= right:
+                stack.append((first, i + 1, left, right, j))
                 break
-            new = [stack[j][0], new[1], stack[j][2], new[3]]
+            first, _, left, _, link = stack[j]
             del stack[j:]
-    return [(a, b, float(r - l)) for a, b, l, r in stack]
+            j = link
+    return [(a, b, float(r - l)) for a, b, l, r, _ in stack]
 
 
 @dataclass
@@ -85,16 +88,10 @@ class ToxicModel:
     scores: _Scores | None = None
 
     def token_scores(self, words: list[str]) -> np.ndarray:
-        """A score for each token; what a text repeats tells nothing new, so only the first of equal tokens scores above the drift."""
+        """A score for each token, at every occurrence: a passage counts whatever words came before it."""
         if self.scores is None:
             self.scores = _Scores(self.table, self.drift)
-        out = np.fromiter(map(self.scores.__getitem__, words), float, len(words))
-        seen: set[str] = set()
-        for i in np.flatnonzero(out > 0).tolist():
-            if words[i] in seen:
-                out[i] = self.drift
-            seen.add(words[i])
-        return out
+        return np.fromiter(map(self.scores.__getitem__, words), float, len(words))
 
     def passages(self, text: str | None, e_value: float = 0.05) -> list[tuple[int, int, float]]:
         """Segments of which fewer than ``e_value`` as good are expected in a clean text of the length: (first token, end, score)."""

@@ -60,6 +60,17 @@ def test_segments_match_the_definition():
         assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in brute_segments(s)]
 
 
+def test_passages_of_words_that_occurred_before_are_found():
+    model = toxicity.ToxicModel(table={"bad": 3.0, "worse": 4.0})
+    text = " ".join(["bad"] + ["calm"] * 100 + (["worse", "bad", "worse", "bad"] + ["calm"] * 100) * 3)
+    assert [(a, b) for a, b, _ in model.passages(text)] == [(101, 105), (205, 209), (309, 313)]
+
+
+def test_segments_take_linear_time():
+    found = toxicity.segments(np.tile([1.0] + [-0.5] * 9, 100_000))
+    assert len(found) == 100_000 and found[-1] == (999_990, 999_991, 1.0)
+
+
 def test_additive_model_learns_an_interaction():
     rnd = np.random.default_rng(1)
     x = rnd.uniform(-1, 1, (4000, 4))
