@@ -99,12 +99,10 @@ class ToxicModel:
         return [s for s in segments(self.token_scores(words)) if len(words) * math.exp(-self.decay * s[2]) <= e_value]
 
     def evidence(self, text: str | None) -> float:
-        """How far the best segments are beyond chance: each counts log(1 + 1 / E), E being how many as good are expected."""
+        """How far all segments together are beyond chance: each counts log(1 + 1 / E), E being how many as good are expected."""
         words = tokens(text)
-        if not words:
-            return 0.0
-        worth = sorted((self.decay * s - math.log(len(words)) for _, _, s in segments(self.token_scores(words))), reverse=True)
-        return float(sum(np.logaddexp(0.0, w) for w in worth[:4]))
+        found = np.array([s for _, _, s in segments(self.token_scores(words))])
+        return float(np.logaddexp(0.0, self.decay * found - math.log(len(words))).sum()) if len(found) else 0.0
 
     def probability(self, text: str | None) -> float:
         x = self.slope * math.log1p(self.evidence(text)) + self.shift

@@ -66,6 +66,14 @@ def test_passages_of_words_that_occurred_before_are_found():
     assert [(a, b) for a, b, _ in model.passages(text)] == [(101, 105), (205, 209), (309, 313)]
 
 
+def test_evidence_counts_every_segment():
+    model = toxicity.ToxicModel(table={"bad": 4.5, "worse": 4.5})
+    text = lambda n: " ".join((["worse", "bad"] + ["calm"] * 600) * n + ["calm"] * 602 * (30 - n))
+    each = np.log1p(np.exp(9 - np.log(602 * 30)))
+    for n in (0, 1, 4, 5, 30):
+        assert model.evidence(text(n)) == pytest.approx(n * each)
+
+
 def test_segments_take_linear_time():
     found = toxicity.segments(np.tile([1.0] + [-0.5] * 9, 100_000))
     assert len(found) == 100_000 and found[-1] == (999_990, 999_991, 1.0)
