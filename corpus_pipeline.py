@@ -28,10 +28,12 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a benchmark's windows in a twentieth of their words or more go."""
-    found = decontaminate.overlap(docs, table(spark, sf_dir, "benchmark"))
-    bad = staged(found.where(decontaminate.contaminated()).select(F.col("doc_id").alias("bad_id")).distinct(), "contaminated")
-    return docs.join(small(bad), docs["doc_id"].eqNullSafe(F.col("bad_id")), "left_anti").select(docs.columns)
+    """Documents with a benchmark's windows in a twentieth of their words or more go. Each row goes by its own text: others
+    with its id, or without an id like it, stay."""
+    found = decontaminate.overlap(docs, table(spark, sf_dir, "benchmark"), key_col="bad_key")
+    bad = staged(found.where(decontaminate.contaminated()).select(F.col("doc_id").alias("bad_id"), "bad_key").distinct(), "contaminated")
+    same = docs["doc_id"].eqNullSafe(F.col("bad_id")) & (F.xxhash64(docs["text"]) == F.col("bad_key"))
+    return docs.join(small(bad), same, "left_anti").select(docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,14 +73,15 @@ def _all_kept(df: DataFrame, words: str, lengths: list[int]) -> DataFrame:
     return df
 
 
-def overlap(docs: DataFrame, benchmark: DataFrame, window: int = 13, text_col: str = "text", id_col: str = "doc_id", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def overlap(docs: DataFrame, benchmark: DataFrame, window: int = 13, text_col: str = "text", id_col: str = "doc_id", item_id: str = "item_id", item_text: str = "text", key_col: str | None = None) -> DataFrame:
     """One row for each row of ``docs``: ``id_col``, ``n_words``, ``n_hit`` (words inside an occurrence of a window of an
     item) and ``items`` (sorted ids, as strings, of the items that have such a window).
 
     A-Z count as a-z. An item's windows are its sequences of ``window`` words; an item of fewer words, but not none, is
     one window. Null, empty and wordless texts have no words and no windows. Null ids of documents stay null; an item
     with a null id counts under the empty name. Repeated rows get equal results. Empty tables give no hits or no rows.
-    Other columns of either table play no part.
+    Other columns of either table play no part. ``key_col`` adds the text's hash (``xxhash64``): id and hash tell rows apart
+    whose ids are null or repeated.
     """
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("key", F.xxhash64("text"))
     items = staged(
@@ -121,7 +122,7 @@ def overlap(docs: DataFrame, benchmark: DataFrame, window: int = 13, text_col: s
     result = shared.groupBy("id", "key").agg(runs.alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")).withColumnsRenamed({"id": "rid", "key": "rkey"})
     out = wide.join(result, F.col("id").eqNullSafe(F.col("rid")) & F.col("key").eqNullSafe(F.col("rkey")), "left")
     discard(marks)
-    return out.select(F.col("id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return out.select(F.col("id").alias(id_col), *([F.col("key").alias(key_col)] if key_col else []), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def contaminated(n_hit: str = "n_hit", n_words: str = "n_words") -> Column:

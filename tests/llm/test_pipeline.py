@@ -82,6 +82,14 @@ def test_run_equals_the_stages(spark, stages):
     assert sorted(map(tuple, out[["doc_id", "shard", "slot"]].values.tolist())) == sorted(map(tuple, stages[5][["doc_id", "shard", "slot"]].values.tolist()))
 
 
+def test_decontamination_decides_by_row(spark):
+    bad = table(spark, DIR, "benchmark").where("length(text) > 200").orderBy("item_id").first()["text"]
+    rows = [(None, bad), (None, "clean one"), (None, None), (2, bad), (2, "clean two"), (3, bad), (4, "clean two"), (4, "clean two")]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.decontamination_stage(spark, docs, DIR).collect())
+    assert kept == Counter((i, t) for i, t in rows if t != bad)
+
+
 def test_stages_take_nulls_and_empty_tables(spark):
     docs = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", None, 0), (2, "a b c", None, "s", 5), (2, "a b c", None, "s", 5)], "doc_id long, text string, lang string, source string, n_chars long")
     for _, stage in corpus_pipeline.STAGES:
