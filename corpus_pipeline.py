@@ -19,12 +19,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the least id. Documents without an id stay, too,
-    unless one with an id is like them; of repeated rows all or none stay."""
-    marked = simhash.near_duplicates(docs)
-    stays = F.max(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = staged(marked.groupBy(F.col("doc_id").alias("gone_id")).agg(stays.alias("stays")).where("not stays").select("gone_id"), "near_copies")
-    return docs.join(small(gone), docs["doc_id"].eqNullSafe(F.col("gone_id")), "left_anti").select(docs.columns)
+    """Exactly one row of each group of near duplicates stays: the one with the least id, null being the last; of rows with
+    equal ids, any one. Rows get numbers and are written with them, as ids may be null or repeated."""
+    row = free_name(docs.columns, "row")
+    numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    key = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
+    marked = simhash.near_duplicates(numbered.select(key.alias("key"), "text"), id_col="key")
+    gone = staged(marked.where("key.row != component_id.row").select(F.col("key.row").alias("gone_row")), "near_copies")
+    return numbered.join(small(gone), numbered[row] == F.col("gone_row"), "left_anti").select(docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

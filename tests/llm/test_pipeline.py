@@ -90,6 +90,14 @@ def test_decontamination_decides_by_row(spark):
     assert kept == Counter((i, t) for i, t in rows if t != bad)
 
 
+def test_near_duplicates_leave_one_row_of_null_and_repeated_ids(spark):
+    a, b, c, d = (" ".join(f"{w}{n}" for n in range(30)) for w in "abcd")
+    rows = [(None, a), (1, a), (None, b), (None, b), (2, c), (2, c), (3, c), (3, d), (None, d)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicate_stage(spark, docs, DIR).collect())
+    assert kept == Counter([(1, a), (None, b), (2, c), (3, d)])
+
+
 def test_stages_take_nulls_and_empty_tables(spark):
     docs = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", None, 0), (2, "a b c", None, "s", 5), (2, "a b c", None, "s", 5)], "doc_id long, text string, lang string, source string, n_chars long")
     for _, stage in corpus_pipeline.STAGES:
