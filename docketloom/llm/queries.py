@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 from . import chat, decontaminate, embeddings, mixing, quality, sharding, simhash, substrings, tokencount, toxicity
 from .common import bounded_batches, crc_mod, table
 
-#: The vocabulary that ``op3_tokencount`` counts with; the file is public and not part of this repository.
-VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+#: The tokenizer whose pieces ``op3_tokencount`` counts; the file is public and not part of this repository.
+VOCABULARY = os.environ.get("DOCKETLOOM_VOCABULARY", "/opt/tokenizers/piece_bpe_32k.model")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -132,5 +133,5 @@ FROM d LEFT JOIN n USING (r) LEFT JOIN k USING (r)
 
 @query
 def op3_tokencount(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counter = tokencount.UnigramCounter(tokencount.vocabulary(VOCABULARY))
+    counter = tokencount.counter_for(VOCABULARY)
     return bounded_batches(table(spark, sf_dir, "documents")).select("doc_id", tokencount.token_count(counter, F.col("text")).alias("n_tokens"))
