@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, bounded_batches
+from .common import WORD_BYTES, bounded_batches, free_name, objects
 
 FEATURES = (
     "chars", "words", "word_len", "distinct_words", "top_word", "repeat_next", "distinct_pairs", "upper", "digits", "marks", "symbols",
@@ -161,12 +161,13 @@ def fit_additive(x: np.ndarray, y: np.ndarray, rounds: int = 240, rate: float =
     return m
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: int, id_col: str = "doc_id") -> DataFrame:
-    """The documents behind at most ``bound`` labels for which ``learn`` (a condition on the id) holds, with the label.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: int, value: Column, id_col: str = "doc_id") -> DataFrame:
+    """``value, label`` for at most ``bound`` labelled ids for which ``learn`` (a condition on the id) holds.
 
-    The labels with the least hashes are taken, so that the choice is the same in every run. Null ids and null labels
-    are left out; an id labelled more than once counts once, with its largest label. The sample's ids, which the bound
-    keeps small, are broadcast; the documents are scanned once and not moved.
+    The ids with the least hashes are taken, so that the choice is the same in every run. Null ids and null labels are
+    left out; an id labelled more than once counts once, with its largest label; ``value`` is an aggregate (a minimum, say)
+    over the documents that bear the id, so that one value stands for all of them. The sample's ids, which the bound
+    keeps few, are broadcast; the documents are scanned once, and what the sample needs of them is aggregated before it moves.
     """
     picked = (
         labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull() & learn)
@@ -175,21 +176,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
         .orderBy(F.xxhash64("__id"), "__id")
         .limit(bound)
     )
-    return docs.join(F.broadcast(picked), docs[id_col] == F.col("__id"))
+    return docs.join(F.broadcast(picked), docs[id_col] == F.col("__id")).groupBy("__id").agg(value.alias("value"), F.max("__label").alias("label")).select("value", "label")
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: int = 12_000, text_col: str = "text", id_col: str = "doc_id") -> AdditiveModel:
-    """Fit the model on a bounded sample of labelled documents (``bound`` rows at most), whose features alone reach the driver."""
-    sample = labelled_sample(bounded_batches(docs), labels, label, learn, bound, id_col).select(F.col(text_col).alias("text"), "__label")
+    """Fit the model on a bounded sample of labelled documents (``bound`` at most), whose features alone leave the executors."""
 
-    def numbers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches:
-            yield pd.DataFrame({"x": [text_features(t) for t in part["text"]], "y": part["__label"].to_numpy()})
+    @F.pandas_udf("array<double>")
+    def numbers(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield objects([text_features(t) for t in texts])
 
-    got = sample.mapInPandas(numbers, "x array<double>, y double").toPandas()
-    x = np.array(got["x"].tolist(), float).reshape(len(got), len(FEATURES))
-    order = np.lexsort([*x.T, got["y"].to_numpy()]) if len(got) else np.array([], int)  # the sums of the fit then don't depend on the order of arrival
-    return fit_additive(x[order], got["y"].to_numpy(float)[order])
+    some = bounded_batches(docs).select(F.col(id_col), F.col(text_col).alias("__text"))
+    got = labelled_sample(some, labels, label, learn, bound, F.min(numbers("__text")), id_col).toPandas()
+    x, y = np.array(got["value"].tolist(), float).reshape(len(got), len(FEATURES)), got["label"].to_numpy(float)
+    order = np.lexsort([*x.T, y]) if len(got) else np.array([], int)  # the sums of the fit then don't depend on the order of arrival
+    return fit_additive(x[order], y[order])
 
 
 def quality_score(model: AdditiveModel, text: Column) -> Column:
@@ -205,10 +207,12 @@ def quality_score(model: AdditiveModel, text: Column) -> Column:
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, threshold: float = 0.3, label: str = "quality", bound: int = 12_000, score_col: str = "score", predicted_col: str = "predicted") -> DataFrame:
-    """``docs`` with a score (0 to 1, higher: a label of 1 is likelier) and 1 or 0 for at least ``threshold`` or less.
+    """``docs`` with a score (0 to 1, higher: a label of 1 is likelier) and 1 or 0 for at least ``threshold`` or less. A taken
+    name gets a suffix: all columns of ``docs`` stay as they are.
 
     Inputs of the score are numbers about the text alone. Null and empty texts are scored like any other; repeated rows
     get equal scores; without usable labels every text gets the same score.
     """
     model = fit_quality(bounded_batches(docs), labels, label, learn, bound)
+    score_col, predicted_col = free_name(docs.columns, score_col), free_name([*docs.columns, score_col], predicted_col)
     return docs.withColumn(score_col, quality_score(model, F.col("text"))).withColumn(predicted_col, (F.col(score_col) >= threshold).cast("int"))

@@ -1,5 +1,6 @@
 """The two classifiers: held-out accuracy, parts against brute force, edges."""
 
+import math
 import random
 
 import numpy as np
@@ -67,13 +68,63 @@ def test_passages_of_words_that_occurred_before_are_found():
 
 
 def test_evidence_counts_every_segment():
-    model = toxicity.ToxicModel(table={"bad": 4.5, "worse": 4.5})
+    model = toxicity.ToxicModel(table={"bad": 4.5, "worse": 4.5}, decay=0.9, constant=0.25)
     text = lambda n: " ".join((["worse", "bad"] + ["calm"] * 600) * n + ["calm"] * 602 * (30 - n))
-    each = np.log1p(np.exp(9 - np.log(602 * 30)))
-    for n in (0, 1, 4, 5, 30):
+    each = math.log(1 + model.level / (0.25 * 602 * 30 * math.exp(-0.9 * 9)))
+    for n in (0, 1, 4, 5, 8, 30):
         assert model.evidence(text(n)) == pytest.approx(n * each)
 
 
+def test_evidence_against_brute_force():
+    rnd = random.Random(7)
+    model = toxicity.ToxicModel(table={"x": 2.5, "y": 1.75}, decay=1.2, constant=0.5)
+    for _ in range(60):
+        words = rnd.choices("xyabc", k=rnd.randint(0, 16))
+        found = brute_segments([model.table.get(w, model.drift) for w in words])
+        want = sum(math.log(1 + model.level / (0.5 * len(words) * math.exp(-1.2 * s))) for _, _, s in found)
+        assert model.evidence(" ".join(words)) == pytest.approx(want)
+        assert [(a, b) for a, b, _ in model.passages(" ".join(words), 0.2)] == [(a, b) for a, b, s in found if 0.5 * len(words) * math.exp(-1.2 * s) <= 0.2]
+
+
+def test_fit_against_brute_force(spark):
+    """Counts, log-odds, decay and constant of the fit, each worked out from the definitions."""
+    rnd = random.Random(11)
+    rows = [(i, " ".join(rnd.choices(["slur", "vile"] if i % 4 == 0 and rnd.random() < 0.6 else ["calm", "tree", "sea", "slur", "sun"], weights=None, k=1) + rnd.choices(["calm", "tree", "sea", "sun"], k=6)), int(i % 4 == 0)) for i in range(400)]
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(docs, labels, "toxic", F.lit(True), least=0.5)
+    counts = {}
+    for _, text, toxic in rows:
+        for key in {k for t in text.split() for k in [t, *(t[:n] + "*" for n in (6, 5, 4) if len(t) > n)]}:
+            counts.setdefault(key, [0, 0])[toxic] += 1
+    n0, n1 = (sum(c[j] for c in counts.values()) for j in (0, 1))
+    want = {}
+    for key, (clean, toxic) in counts.items():
+        prior, whole = 0.5 + 500 * (clean + toxic) / (n0 + n1), 0.5 * len(counts) + 500
+        delta = math.log((toxic + prior) / (n1 + whole - toxic - prior)) - math.log((clean + prior) / (n0 + whole - clean - prior))
+        low = delta - 1.28 * math.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
+        if low >= 0.5:
+            want[key] = low
+    assert model.table == pytest.approx(want) and want
+    clean = [[model.table.get(t, model.drift) for t in text.split()] for _, text, toxic in rows if not toxic]
+    found = [s for c in clean for _, _, s in brute_segments(c)]
+    assert model.constant == pytest.approx((len(found) + 0.5) * math.exp(model.decay * min(want.values())) / sum(map(len, clean)))
+    flat = [round(x, 2) for c in clean for x in c]
+    values = {model.drift, *(round(x, 2) for x in want.values())}
+    weights = {v: flat.count(v) + 0.5 for v in values}
+    assert sum(w * math.exp(model.decay * v) for v, w in weights.items()) == pytest.approx(sum(weights.values()), rel=1e-6)
+
+
+@pytest.mark.parametrize(("score", "label"), [(quality.score_quality, "quality"), (toxicity.score_toxicity, "toxic")])
+def test_sample_is_bounded_and_columns_stay(spark, score, label):
+    docs = spark.range(5000).selectExpr("id % 3 AS doc_id", "concat('text ', id) AS text", "7.5D AS score", "'mine' AS PREDICTED")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 1)], f"doc_id long, {label} int")
+    out = score(docs, labels, F.lit(True), bound=2)
+    assert out.columns == ["doc_id", "text", "score", "PREDICTED", "score_1", "predicted_1"]
+    assert out.where("score = 7.5 and PREDICTED = 'mine' and score_1 between 0 and 1").count() == 5000
+    sample = quality.labelled_sample(docs, labels, label, F.lit(True), 2, F.min("text")).collect()
+    assert len(sample) == 2 and {r["value"] for r in sample} <= {"text 0", "text 1", "text 2", "text 10", "text 1000", "text 100"}
+
+
 def test_segments_take_linear_time():
     found = toxicity.segments(np.tile([1.0] + [-0.5] * 9, 100_000))
     assert len(found) == 100_000 and found[-1] == (999_990, 999_991, 1.0)
@@ -85,4 +136,3 @@ def test_additive_model_learns_an_interaction():
     y = ((x[:, 0] > 0) ^ (x[:, 1] > 0)).astype(float)
     model = quality.fit_additive(x, y)
     assert auc(y, model.score(x)) > 0.97 and {model.pairs[0][0], model.pairs[0][1]} == {0, 1}
-    assert toxicity.log_odds(np.array([5.0]), np.array([0.0]), 10, 100)[0][0] > 3
