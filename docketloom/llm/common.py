@@ -40,10 +40,13 @@ def bounded_batches(df: DataFrame) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster (``spark.checkpoint.dir``); a temporary one only where none is set, as in tests."""
+    """The shared folder of the cluster (``spark.checkpoint.dir``); a temporary one only where none is set and all runs in one
+    process, as in tests. A cluster without the setting is an error, as its executors share no local folder."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _own_root:
         _own_root.append("file://" + tempfile.mkdtemp(prefix="docketloom-"))
     return _own_root[0]

@@ -101,15 +101,15 @@ def overlap(docs: DataFrame, benchmark: DataFrame, window: int = 13, text_col: s
     found = kept.select("id", "key", F.explode(F.array_distinct(F.concat(*[F.col(f"kept{n}") for n in lengths]))).alias("hash")).join(few(marks), "hash", "left_semi")
     hits = staged(found.groupBy("id", "key").agg(F.collect_set("hash").alias("hashes")), "hits")
 
-    texts = d.join(small(hits).withColumnsRenamed({"id": "hid", "key": "hkey"}), F.col("id").eqNullSafe(F.col("hid")) & F.col("key").eqNullSafe(F.col("hkey")), "left")
-    texts = texts.select("id", "key", F.coalesce(F.size(_tokens(F.col("text"))), F.lit(0)).cast("long").alias("n_words"), "hashes", F.when(F.col("hashes").isNotNull(), F.col("text")).alias("text"))
-    texts = _all_kept(texts.withColumn("words", _tokens(F.col("text"))), "words", lengths)
+    # only the texts with hits are looked at again, and where they are many the shuffle takes their keys first (a Bloom filter)
+    texts = d.join(small(hits).withColumnsRenamed({"id": "hid", "key": "hkey"}), F.col("id").eqNullSafe(F.col("hid")) & (F.col("key") == F.col("hkey")))
+    texts = _all_kept(texts.select("id", "key", "hashes", _tokens(F.col("text")).alias("words")), "words", lengths)
 
     def extended(n: int) -> Column:
         places = F.filter(F.transform(f"kept{n}", lambda x, i: F.when(F.array_contains("hashes", x), i)), lambda i: i.isNotNull())
         return F.transform(places, lambda i: F.struct(i.alias("at"), F.lit(n).alias("len"), _window("words", i + 1, n).alias("words")))
 
-    wide = staged(texts.select("id", "key", "n_words", F.when(F.col("hashes").isNotNull(), F.concat(*[extended(n) for n in lengths])).alias("windows")), "windows")
+    wide = staged(texts.select("id", "key", F.concat(*[extended(n) for n in lengths]).alias("windows")), "windows")
     theirs = items.select("item", "words", length.alias("n"))
     theirs = theirs.select("item", "n", F.explode(F.transform(F.sequence(F.lit(1), F.size("words") - F.col("n") + 1), lambda i: _window("words", i, F.col("n")))).alias("words"))
     theirs = staged(theirs.groupBy("n", "words").agg(F.collect_set("item").alias("items")), "item_windows")
@@ -120,8 +120,9 @@ def overlap(docs: DataFrame, benchmark: DataFrame, window: int = 13, text_col: s
         lambda s, x: F.struct(F.greatest(s["end"], x["at"] + x["len"]).alias("end"), (s["sum"] + F.greatest(F.lit(0), x["at"] + x["len"] - F.greatest(s["end"], x["at"]))).alias("sum")),
     )["sum"]
     result = shared.groupBy("id", "key").agg(runs.alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")).withColumnsRenamed({"id": "rid", "key": "rkey"})
-    out = wide.join(result, F.col("id").eqNullSafe(F.col("rid")) & F.col("key").eqNullSafe(F.col("rkey")), "left")
-    discard(marks)
+    counted = d.select("id", "key", F.coalesce(F.size(_tokens(F.col("text"))), F.lit(0)).cast("long").alias("n_words"))
+    out = counted.join(small(staged(result, "overlaps")), F.col("id").eqNullSafe(F.col("rid")) & (F.col("key") == F.col("rkey")), "left")
+    discard(marks, hits, wide)
     return out.select(F.col("id").alias(id_col), *([F.col("key").alias(key_col)] if key_col else []), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 

@@ -12,11 +12,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, free_name, staged
+from .common import bounded_batches, free_name, small, staged
 from .mixing import word_count
 
 #: A group beyond this part of a shard, in bytes, tokens or rows, is split; one beyond the second part is packed by itself.
@@ -43,17 +43,23 @@ def shard(docs: DataFrame, shards: int = 24, text_col: str = "text", id_col: str
 
     Shards have nearly equal bytes, and tokens and rows as near as the same packing leaves them. Equal texts share a
     shard, unless they make up more than a quarter of one; such groups are cut into quarters or less by the id's hash.
+    ``docs`` is read once; what is kept of it is written and moved, so that whole texts had better stay out of ``keep``.
     A null text has no bytes and no tokens; null texts are equal texts. Null and repeated ids and repeated rows are rows
     like any other. An empty table gives an empty one.
     """
     spark = bounded_batches(docs).sparkSession
     keep = docs.columns if keep is None else keep
     new = [free_name(keep, c) for c in ("size", "shard", "slot")]
-    group = F.struct(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("a"), F.xxhash64(F.lit("second"), F.col(text_col)).alias("b"))
-    sized = docs.select(*{text_col: 0, **dict.fromkeys(keep)}, (F.coalesce(F.octet_length(text_col), F.lit(0)) + 8).cast("long").alias(new[0]), group.alias("__g"), F.xxhash64(F.lit("piece"), F.col(id_col)).alias("__h"))
-    loads = sized.select("__g", "__h", F.col(new[0]).alias("bytes"), word_count(F.col(text_col)).alias("tokens"))
+    text = F.col(text_col)
+    sized = staged(
+        docs.select(
+            F.struct(*keep).alias("row"), (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("long").alias("bytes"), word_count(text).alias("tokens"),
+            F.xxhash64(F.coalesce(text, F.lit(""))).alias("a"), F.xxhash64(F.lit("second"), text).alias("b"), F.xxhash64(F.lit("piece"), F.col(id_col)).alias("h"),
+        ),
+        "sized",
+    )
     sums = [F.sum("bytes").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")]
-    groups = staged(loads.groupBy("__g").agg(*sums).select("__g.a", "__g.b", *_LOADS), "groups")
+    groups = staged(sized.groupBy("a", "b").agg(*sums), "groups")
     total = groups.agg(F.count("*").alias("groups"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _LOADS]).first()
 
     def over(part: float) -> F.Column:
@@ -63,9 +69,9 @@ def shard(docs: DataFrame, shards: int = 24, text_col: str = "text", id_col: str
     heavy = groups.where(over(HEAVY) > 1)
     pieces = [(r["a"], r["b"], int(np.ceil(r["pieces"]))) for r in heavy.where(over(SPLIT) > 1).select("a", "b", over(SPLIT).alias("pieces")).collect()]
     cut = F.broadcast(spark.createDataFrame(pieces, "a long, b long, pieces int"))
-    piece = F.pmod(F.col("__h"), F.coalesce("pieces", F.lit(1))).cast("int").alias("piece")
+    piece = F.pmod("h", F.coalesce("pieces", F.lit(1))).cast("int").alias("piece")
     if pieces:
-        parts = loads.select("__g.a", "__g.b", "__h", "bytes", "tokens").join(cut, ["a", "b"]).withColumn("piece", piece).groupBy("a", "b", "piece").agg(*sums)
+        parts = sized.select("a", "b", "h", "bytes", "tokens").join(cut, ["a", "b"]).withColumn("piece", piece).groupBy("a", "b", "piece").agg(*sums)
         alone = heavy.join(cut, ["a", "b"], "left_anti").select("a", "b", F.lit(0).alias("piece"), *_LOADS).union(parts.select("a", "b", "piece", *_LOADS))
     else:
         alone = heavy.select("a", "b", F.lit(0).alias("piece"), *_LOADS)
@@ -89,20 +95,17 @@ def shard(docs: DataFrame, shards: int = 24, text_col: str = "text", id_col: str
     items = np.array([r[3:] for r in alone] + [r[2:] for r in bundles], float).reshape(-1, 3)
     of = pack(items, shards).tolist()
     place = F.broadcast(spark.createDataFrame([(r[0], r[1], k) for r, k in zip(bundles, of[len(alone) :], strict=True)], "bucket int, bundle int, shard int"))
-    fixed = spark.createDataFrame([(*r[:3], k) for r, k in zip(alone, of, strict=False)], "a long, b long, piece int, shard int")
-    where = staged(bundled.join(place, ["bucket", "bundle"]).select("a", "b", F.lit(0).alias("piece"), "shard").union(fixed), "places")
-
-    own = cut.select(F.col("a").alias("__a"), F.col("b").alias("__b"), F.col("pieces").alias("__pieces"))
-    piece = F.pmod(F.col("__h"), F.coalesce("__pieces", F.lit(1))).cast("int")
-    keyed = sized.join(F.broadcast(own), (F.col("__g.a") == F.col("__a")) & (F.col("__g.b") == F.col("__b")), "left").select(*keep, new[0], "__g", piece.alias("__piece"))
-    where = where.select(F.struct("a", "b").alias("__to"), F.col("piece").alias("__to_piece"), F.col("shard").alias("__to_shard"))
-    placed = keyed.join(where, (F.col("__g") == F.col("__to")) & (F.col("__piece") == F.col("__to_piece"))).select(*keep, new[0], F.col("__to_shard").alias(new[1]))
-    return numbered(placed, new[1], new[2])
+    # heavy groups and their pieces, a few thousand whatever the input, find their shards by broadcast; no key of the shuffle is heavy
+    fixed = F.broadcast(spark.createDataFrame([(*r[:3], k) for r, k in zip(alone, of, strict=False)], "a long, b long, piece int, shard int"))
+    where = bundled.join(place, ["bucket", "bundle"]).select("a", "b", "shard")
+    by_broadcast = sized.join(cut, ["a", "b"], "left").withColumn("piece", piece).join(fixed, ["a", "b", "piece"]).select("row", "bytes", "shard")
+    by_shuffle = sized.join(fixed.select("a", "b").distinct(), ["a", "b"], "left_anti").join(where, ["a", "b"]).select("row", "bytes", "shard")
+    return numbered(by_broadcast.union(by_shuffle), "shard", "slot").select("row.*", F.col("bytes").alias(new[0]), F.col("shard").alias(new[1]), F.col("slot").alias(new[2]))
 
 
 def numbered(df: DataFrame, key: str, out_col: str) -> DataFrame:
     """``df`` with a gapless number from 0 within each value of ``key``, an int of few values. Tasks count as rows stream
-    through; what earlier tasks have counted (a row for each task and value) is added on reading."""
+    through; what earlier tasks have counted (a row for each task and value, summed up on the executors) is added on reading."""
     schema = T.StructType([*df.schema.fields, T.StructField("__task", T.IntegerType()), T.StructField("__rank", T.LongType())])
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -113,10 +116,8 @@ def numbered(df: DataFrame, key: str, out_col: str) -> DataFrame:
             yield part.assign(__task=task, __rank=rank.astype("int64"))
 
     kept = staged(df.mapInPandas(count, schema), "numbered")
-    sums, before = {}, []
-    for task, k, n in sorted(kept.groupBy("__task", key).count().collect(), key=lambda r: (r[1], r[0])):
-        before.append((task, k, sums.get(k, 0)))
-        sums[k] = sums.get(k, 0) + n
-    offsets = F.broadcast(df.sparkSession.createDataFrame(before, "__t int, __k int, __before long"))
+    counts = kept.groupBy("__task", key).count()
+    before = F.sum("count").over(Window.partitionBy(key).orderBy("__task")) - F.col("count")
+    offsets = small(staged(counts.select(F.col("__task").alias("__t"), F.col(key).alias("__k"), before.alias("__before")), "offsets"))
     joined = kept.join(offsets, (F.col("__task") == F.col("__t")) & (F.col(key) == F.col("__k")))
     return joined.select(*df.columns, (F.col("__rank") + F.col("__before")).alias(out_col))

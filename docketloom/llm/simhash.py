@@ -18,12 +18,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, bounded_batches, lower_az, staged
+from .common import WORD_BYTES, bounded_batches, lower_az, small, staged
 from .graph import connected_components
 
 _hash = partial(xxhash.xxh64_intdigest, seed=42)
 #: Rows of hashes whose bits are counted at a time.
 _ROWS = 1 << 16
+#: Fingerprints of a shard beyond which it is cut into blocks that meet pairwise, each pair in a task of its own.
+HOT = 65_536
 #: Pairs of fingerprints below which a branch is compared rather than split, and the most compared at a time.
 _FEW = 1 << 18
 _BLOCK = 1 << 20
@@ -114,11 +116,12 @@ def link_close(fps: np.ndarray, a: np.ndarray, b: np.ndarray, radius: int, fores
             link_close(fps, mine, theirs, radius, forest, depth + 1)
 
 
-def close_edges(distinct_fps: DataFrame, radius: int = 3, vantages: int = 2) -> DataFrame:
+def close_edges(distinct_fps: DataFrame, radius: int = 3, vantages: int = 2, hot: int = HOT) -> DataFrame:
     """Edges ``(u, v)`` that span the components of distinct fingerprints ``fp`` linked at ``radius`` or fewer bits.
 
-    A shard's task returns one edge for each fingerprint that has a link there, however many links it has, so that a
-    group of n near copies never makes more than n edges in a shard.
+    A task returns one edge for each fingerprint that has a link there, however many links it has, so that a group of n
+    near copies never makes more than n edges in a task. A task has at most about ``2 * hot`` fingerprints: fuller shards are
+    cut into blocks, whose pairs are dealt out.
     """
     points = vantage_points(vantages)
     dist = F.array(*[F.bit_count(F.col("fp").bitwiseXOR(F.lit(p))) for p in points])
@@ -128,17 +131,24 @@ def close_edges(distinct_fps: DataFrame, radius: int = 3, vantages: int = 2) ->
     moved = distinct_fps.select("fp", dist.alias("d")).select("fp", F.explode(F.transform(offsets, lambda o: F.struct(F.zip_with("d", o, lambda x, y: x - y).alias("shard"), (F.aggregate(o, F.lit(0), lambda s, x: s + F.abs(x)) == 0).alias("home")))).alias("s"))
     placed = moved.where(F.forall("s.shard", lambda x: (x >= 0) & (x <= 64))).select("fp", F.col("s.shard").alias("shard"), F.col("s.home").alias("home"))
 
-    def shard(part: pd.DataFrame) -> pd.DataFrame:
+    full = small(staged(placed.groupBy("shard").count().where(F.col("count") > hot).select("shard", F.ceil(F.col("count") / hot).cast("int").alias("blocks")), "full_shards"))
+    blocks = F.coalesce("blocks", F.lit(1))
+    cut = placed.join(full, "shard", "left").select("fp", "shard", "home", F.pmod(F.xxhash64("fp"), blocks).cast("int").alias("block"), F.sequence(F.lit(0), blocks.cast("int") - 1).alias("all"))
+    # the row's block is visited by every block, and if the shard is the row's home it visits every block
+    meets = F.concat(F.transform("all", lambda i: F.struct(i.alias("left"), F.col("block").alias("right"))), F.when(F.col("home"), F.transform(F.filter("all", lambda i: i != F.col("block")), lambda i: F.struct(F.col("block").alias("left"), i.alias("right")))).otherwise(F.array()))
+    dealt = cut.select("fp", "shard", "home", "block", F.explode(meets).alias("m")).select("fp", "shard", "home", "block", "m.left", "m.right")
+
+    def meet(part: pd.DataFrame) -> pd.DataFrame:
         order = part.sort_values("fp")
-        fps = order["fp"].to_numpy(np.int64).view(np.uint64)
-        home = np.flatnonzero(order["home"].to_numpy(bool))
+        fps, block = order["fp"].to_numpy(np.int64).view(np.uint64), order["block"].to_numpy()
+        visiting = np.flatnonzero(order["home"].to_numpy(bool) & (block == part["left"].iloc[0]))
+        visited = np.flatnonzero(block == part["right"].iloc[0])
         forest = Forest(len(fps))
-        if len(home):
-            link_close(fps, home, np.arange(len(fps)), radius, forest)
+        link_close(fps, visiting, visited, radius, forest)
         linked = np.flatnonzero(forest.root != np.arange(len(fps)))
         return pd.DataFrame({"u": fps[linked].view(np.int64), "v": fps[forest.root[linked]].view(np.int64)})
 
-    return placed.groupBy("shard").applyInPandas(shard, "u long, v long")
+    return dealt.groupBy("shard", "left", "right").applyInPandas(meet, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 3, radius: int = 3) -> DataFrame:

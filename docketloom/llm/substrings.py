@@ -2,10 +2,11 @@
 
 Every window of ``window`` words has an anchor, the least hash among its ``gram``-word sequences. Texts are cut into the
 stretches that one anchor's windows cover, and the anchors' hashes deal the stretches out to reference blocks: all places
-where a window can occur again lie in the block of its anchor. In a block each anchor has one reference stretch, against
-which the other stretches are factored, greedily to both sides of the anchor; a factor of ``window`` words or more is a
-repeated span, there and in the reference. A window that crosses a factor's boundary can still repeat in another stretch
-of its block; such windows are counted by their contents.
+where a window can occur again lie in the block of its anchor. All stretches of a block are indexed, and each is factored
+greedily against the others: from its first word on the longest match of the stretch that the index names, then on from
+the factor's boundary. A factor has ``window`` words or more and is a repeated span; windows across a boundary are looked
+up themselves, so that no repeat is lost. An anchor with very many stretches has several blocks; the contents of their
+windows are then counted across the blocks.
 """
 
 from __future__ import annotations
@@ -19,11 +20,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, bounded_batches, discard, objects, staged
+from .common import WORD_BYTES, bounded_batches, discard, objects, small, staged
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
-#: Texts remembered in a task to pass over copies early, and spans of references to pass over repeats.
-_SEEN = 200_000
+#: Texts and stretches remembered in a task to pass over copies early.
+_SEEN = 100_000
+#: Stretches of an anchor beyond which it has several blocks.
+BLOCK = 4_096
 EMPTY = hashlib.sha256(b"").hexdigest()
 
 
@@ -69,24 +72,66 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def factor(mine: bytes, my_anchor: int, theirs: bytes, their_anchor: int, gram: int) -> tuple[int, int, list[bytes] | None]:
-    """The factor around two equal anchors: its first word and its end in ``mine``, and the words of ``mine`` if it was split.
-    An anchor whose words differ after all gives an empty factor."""
-    if mine == theirs and my_anchor == their_anchor:
-        return 0, mine.count(b" ") + 1, None
-    a, b = mine.split(b" "), theirs.split(b" ")
-    if a[my_anchor : my_anchor + gram] != b[their_anchor : their_anchor + gram]:
-        return 0, 0, a
-    low = 0
-    while low < my_anchor and low < their_anchor and a[my_anchor - low - 1] == b[their_anchor - low - 1]:
-        low += 1
-    high, most = gram, min(len(a) - my_anchor, len(b) - their_anchor)
-    while high < most and a[my_anchor + high] == b[their_anchor + high]:
-        high += 1
-    return my_anchor - low, my_anchor + high, a
-
-
-def repeated_spans(docs: DataFrame, window: int = 35, gram: int = 6, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def window_ends(body: bytes, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where each window of a body of words, joined by single spaces, starts and ends."""
+    gaps = np.flatnonzero(np.frombuffer(body, np.uint8) == 32)
+    starts, ends = np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [len(body)]])
+    return starts[: len(starts) - window + 1].tolist(), ends[window - 1 :].tolist()
+
+
+class Block:
+    """The indexed stretches of a reference block: where each content of a window occurs first, and first in another body."""
+
+    def __init__(self, bodies: list[bytes], window: int) -> None:
+        self.bodies, self.window = bodies, window
+        self.bounds = [window_ends(b, window) for b in bodies]
+        self.index: dict[bytes, tuple[int, int, int, int]] = {}
+        for k, body in enumerate(bodies):
+            for s, (a, b) in enumerate(zip(*self.bounds[k], strict=True)):
+                content = body[a:b]
+                found = self.index.setdefault(content, (k, s, -1, -1))
+                if found[2] < 0 and found[0] != k:
+                    self.index[content] = (*found[:2], k, s)
+
+    def factors(self, k: int) -> list[tuple[int, int]]:
+        """The factors of body ``k`` (first word, end), each of them in another body too; they cover all its repeated windows."""
+        body, (starts, ends), out, s = self.bodies[k], self.bounds[k], [], 0
+        mine = None
+        while s < len(starts):
+            one, at, other, there = self.index[body[starts[s] : ends[s]]]
+            if one == k:
+                one, at = other, there
+            if one < 0:
+                s += 1
+                continue
+            mine = mine or body.split(b" ")
+            theirs = self.bodies[one].split(b" ")
+            end, most = s + self.window, min(len(mine), len(theirs) + s - at)
+            while end < most and mine[end] == theirs[end + at - s]:
+                end += 1
+            out.append((s, end))
+            s = end - self.window + 1  # the first window across the factor's boundary
+        return out
+
+
+def parse_block(stretches: list[tuple[int, int, bytes]], window: int) -> tuple[list[tuple[int, int, int]], Block | None, dict[bytes, list[tuple[int, int]]]]:
+    """The repeated spans (text, first, end) of stretches (text, first, body), their index and where each body occurs."""
+    places: dict[bytes, list[tuple[int, int]]] = {}
+    for uid, first, body in stretches:
+        places.setdefault(body, []).append((uid, first))
+    spans = []
+    block = Block(list(places), window)
+    for k, (body, at) in enumerate(places.items()):
+        if len(at) > 1:  # a copy is one factor
+            n = body.count(b" ") + 1
+            spans += [(uid, first, first + n) for uid, first in at]
+        elif len(places) > 1:
+            (uid, first), = at
+            spans += [(uid, first + a, first + b) for a, b in block.factors(k)]
+    return spans, block, places
+
+
+def repeated_spans(docs: DataFrame, window: int = 35, gram: int = 6, block: int = BLOCK, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row for each row of ``docs``: ``id_col``, ``text_key`` (of the text), ``n_words``, ``n_removed``, ``spans`` (disjoint
     ranges of words, in order) and ``kept_sha256``. The spans cover exactly the words in windows of ``window`` words whose
     sequence starts at two or more places of the table.
@@ -121,75 +166,82 @@ def repeated_spans(docs: DataFrame, window: int = 35, gram: int = 6, text_col: s
     marks = staged(rows.mapInPandas(mark, f"id {id_type}, key binary, n_words long, sha binary, anchors array<long>").select("*", F.monotonically_increasing_id().alias("uid")), "marks")
     classes = marks.groupBy("key").agg(F.count("*").alias("n"), F.min(F.when(F.col("anchors").isNotNull(), F.col("uid"))).alias("rep"))
     classes = staged(classes, "classes")
-    reps = marks.join(classes.where("rep is not null").select(F.col("rep").alias("uid")), "uid", "left_semi").select("uid", F.explode("anchors").alias("anchor"))
+    reps = marks.join(classes.where("rep is not null").select(F.col("rep").alias("uid"), "n"), "uid").select("uid", "n", F.explode("anchors").alias("anchor"))
     twice = reps.groupBy("anchor").count().where(F.col("count") > 1).select("anchor")
-    shared = staged(reps.join(twice, "anchor", "left_semi").groupBy("uid").agg(F.collect_set("anchor").alias("anchors")), "shared")
+    shared = staged(reps.join(twice, "anchor", "left_semi").groupBy("uid", "n").agg(F.collect_set("anchor").alias("anchors")), "shared")
     wanted = marks.select("uid", "id", "key").join(shared, "uid").withColumnsRenamed({"id": "wid", "key": "wkey"})
     native_key = F.substring(F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)), 1, 16)
+    # rows equal in id and text come several times; they repeat as a whole, so that this changes nothing
     texts = rows.select("id", "text", native_key.alias("key")).join(wanted, F.col("key").eqNullSafe(F.col("wkey")) & F.col("id").eqNullSafe(F.col("wid")))
-    texts = staged(texts.select("uid", "text", "anchors"), "texts")
+    texts = staged(texts.select("uid", "text", "anchors", "n"), "texts")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[bytes, tuple[int, int, int] | None] = {}  # a task's stretches: where first; None once that has been told
         for part in batches:
             out: list[tuple] = []
             for uid, text, wanted_here in zip(part["uid"], part["text"], part["anchors"], strict=True):
                 words = words_of(text)
-                anchors, places, firsts, ends = stretches(words, window, gram)
+                anchors, _, firsts, ends = stretches(words, window, gram)
                 again: list[tuple[int, int]] = []
-                known: dict[bytes, list[tuple[int, int]]] = {}
                 use = np.isin(anchors, np.asarray(wanted_here, np.int64))
-                for anchor, place, first, end in zip(anchors[use].tolist(), places[use].tolist(), firsts[use].tolist(), ends[use].tolist(), strict=True):
+                for anchor, first, end in zip(anchors[use].tolist(), firsts[use].tolist(), ends[use].tolist(), strict=True):
                     body = b" ".join(words[first:end])
-                    if body in known:
-                        known[body].append((first, end))
+                    digest = xxhash.xxh128_digest(body, seed=anchor & 0xFFFFFFFF)
+                    if digest in known:
+                        again.append((first, end))
+                        if known[digest]:
+                            out.append((known[digest][0], None, *known[digest][1:], None))
+                            known[digest] = None
                     else:
-                        known[body] = [(first, end)]
-                        out.append((uid, anchor, first, place - first, body))
-                for spans in known.values():
-                    if len(spans) > 1:
-                        again += spans
+                        if len(known) >= _SEEN:
+                            known.clear()
+                        known[digest] = (uid, first, end)
+                        out.append((uid, anchor, first, end, body))
                 out += [(uid, None, a, b, None) for a, b in merged(again)]
                 if len(out) > 20_000:
-                    yield _frame(out, ("uid", "anchor", "first", "place", "body"))
+                    yield _frame(out, ("uid", "anchor", "first", "end", "body"))
                     out = []
-            yield _frame(out, ("uid", "anchor", "first", "place", "body"))
+            yield _frame(out, ("uid", "anchor", "first", "end", "body"))
 
-    pieces = staged(texts.select("uid", "text", "anchors").mapInPandas(cut, "uid long, anchor long, first int, place int, body binary"), "pieces")
-    blocks = pieces.where("anchor is not null")
-    chosen = blocks.groupBy("anchor").agg(F.min("uid").alias("uid")).join(blocks.select("anchor", "uid", "first"), ["anchor", "uid"]).groupBy("anchor").agg(F.min("uid").alias("uid"), F.min("first").alias("first"))
-    references = blocks.join(chosen, ["anchor", "uid", "first"]).select("anchor", F.col("uid").alias("ref"), F.col("first").alias("ref_first"), F.col("place").alias("ref_place"), F.col("body").alias("ref_body"))
-    references = references.dropDuplicates(["anchor"])  # rows equal in id and text come out together
-    pairs = blocks.join(references, "anchor").where("uid != ref or first != ref_first")
+    pieces = staged(texts.select("uid", "text", "anchors").mapInPandas(cut, "uid long, anchor long, first int, end int, body binary"), "pieces")
+    stretches_ = pieces.where("anchor is not null").select("uid", "anchor", "first", "body")
+    hot = staged(stretches_.groupBy("anchor").count().where(F.col("count") > block).select("anchor", F.ceil(F.col("count") / block).cast("int").alias("blocks")), "hot")
+    dealt = stretches_.join(small(hot), "anchor", "left").withColumn("part", F.when(F.col("blocks").isNotNull(), F.pmod(F.xxhash64("uid", "first"), "blocks")).cast("int"))
+    dealt = dealt.select("anchor", "part", "uid", "first", "body").repartition("anchor", "part").sortWithinPartitions("anchor", "part")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        told: set[tuple[int, int, int]] = set()
+        out: list[tuple] = []
+        now: tuple | None = None
+        held: list[tuple[int, int, bytes]] = []
+
+        def close() -> None:
+            if not held or (len(held) == 1 and now[1] is None):
+                return
+            spans, index, places = parse_block(held, window)
+            out.extend((*x, None, None) for x in spans)
+            if now[1] is not None:  # the anchor has other blocks: every content once, to be counted over them
+                for content, (k, s, _, _) in index.index.items():
+                    uid, first = places[index.bodies[k]][0]
+                    out.append((uid, first + s, first + s + window, now[0], xxhash.xxh64_intdigest(content) - (1 << 63)))
+
         for part in batches:
-            out: list[tuple] = []
-            for uid, anchor, first, place, body, ref, ref_first, ref_place, ref_body in part.itertuples(index=False, name=None):
-                low, high, words = factor(body, place, ref_body, ref_place, gram)
-                if high - low >= window:
-                    out.append((uid, first + low, first + high, None, None))
-                    there = ref_first + ref_place + low - place
-                    if (ref, there, high - low) not in told:
-                        if len(told) >= _SEEN:
-                            told.clear()
-                        told.add((ref, there, high - low))
-                        out.append((ref, there, there + high - low, None, None))
-                if words is not None:
-                    for s in range(len(words) - window + 1):
-                        if not (low <= s and s + window <= high):
-                            out.append((uid, first + s, first + s + window, anchor, xxhash.xxh64_intdigest(b" ".join(words[s : s + window])) - (1 << 63)))
+            numbers = [None if n != n or n is None else int(n) for n in part["part"].tolist()]
+            for anchor, number, uid, first, body in zip(part["anchor"].tolist(), numbers, part["uid"].tolist(), part["first"].tolist(), part["body"], strict=True):
+                if (anchor, number) != now:
+                    close()
+                    now, held = (anchor, number), []
+                held.append((uid, first, body))
                 if len(out) > 20_000:
                     yield _frame(out, ("uid", "first", "end", "anchor", "body"))
-                    out = []
-            yield _frame(out, ("uid", "first", "end", "anchor", "body"))
+                    out.clear()
+        close()
+        yield _frame(out, ("uid", "first", "end", "anchor", "body"))
 
-    columns = ["uid", "anchor", "first", "place", "body", "ref", "ref_first", "ref_place", "ref_body"]
-    parsed = staged(pairs.select(*columns).mapInPandas(parse, "uid long, first int, end int, anchor long, body long"), "parsed")
+    parsed = staged(dealt.mapInPandas(parse, "uid long, first int, end int, anchor long, body long"), "parsed")
     open_ = parsed.where("anchor is not null")
     again = open_.groupBy("anchor", "body").count().where(F.col("count") > 1).select("anchor", "body")
     crossing = open_.join(again, ["anchor", "body"], "left_semi").select("uid", "first", "end")
-    spans = parsed.where("anchor is null").select("uid", "first", "end").union(crossing).union(pieces.where("anchor is null").select("uid", "first", F.col("place").alias("end")))
+    spans = parsed.where("anchor is null").select("uid", "first", "end").union(crossing).union(pieces.where("anchor is null").select("uid", "first", "end"))
     spans = spans.groupBy("uid").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
     span_type = "array<struct<start:int,end:int>>"
 
@@ -202,9 +254,9 @@ def repeated_spans(docs: DataFrame, window: int = 35, gram: int = 6, text_col: s
                 out.append((uid, len(words) - len(kept), [{"start": a, "end": b} for a, b in gone], hashlib.sha256(b" ".join(kept)).digest()))
             yield _frame(out, ("uid", "n_removed", "gone", "kept"))
 
-    removed = texts.select("uid", "text").join(spans, "uid").mapInPandas(remove, f"uid long, n_removed long, gone {span_type}, kept binary").withColumnRenamed("uid", "rep")
-    removed = staged(removed.dropDuplicates(["rep"]), "removed")
-    discard(shared, texts, pieces, parsed)
+    removed = texts.where("n = 1").select("uid", "text").join(spans, "uid").mapInPandas(remove, f"uid long, n_removed long, gone {span_type}, kept binary").withColumnRenamed("uid", "rep")
+    removed = staged(removed, "removed")
+    discard(shared, texts, pieces, hot, parsed)
     by_class = classes.join(removed, "rep", "left").select(F.col("key").alias("class_key"), "n", "n_removed", "gone", "kept")
     out = marks.select("id", "key", "n_words", "sha").join(by_class, F.col("key") == F.col("class_key"))
     whole = (F.col("n") > 1) & (F.col("n_words") >= window)
@@ -234,5 +286,3 @@ def kept_text(text: Column, spans: Column) -> Column:
 
 def _frame(rows: list[tuple], columns: tuple[str, ...]) -> pd.DataFrame:
     return pd.DataFrame({c: objects([r[i] for r in rows]) for i, c in enumerate(columns)})
-
-

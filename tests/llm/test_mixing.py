@@ -51,6 +51,50 @@ def test_taken_is_near_targets_and_bounded(spark):
     assert sorted(map(str, out[key].values.tolist())) == sorted(map(str, again[key].values.tolist()))
 
 
+def test_rates_against_bisection(spark):
+    """Each source's multiplier by bisection on the words that its rates take."""
+    out = mixing.mix(sample(spark, 800, 4)).toPandas()
+    totals = out.assign(source=out["source"].fillna("~")).groupby("source")["size"].sum().to_dict()
+    targets = brute_targets({None if s == "~" else s: n for s, n in totals.items()})
+    for source, target in targets.items():
+        mine = out[out["source"].isna() if source is None else out["source"] == source]
+        sizes, low, high = mine["size"].to_numpy(float), -1.0, 1.0
+        rates = lambda tilt: np.minimum(3.0, np.exp(np.minimum(tilt * sizes, 50)))  # noqa: B023, E731
+        if target < 3 * sizes.sum() * (1 - 1e-9):
+            for _ in range(200):
+                mid = (low + high) / 2
+                low, high = (mid, high) if (rates(mid) * sizes).sum() < target else (low, mid)
+            assert mine["rate"].to_numpy() == pytest.approx(rates(high), rel=1e-4)
+        else:
+            assert (mine["rate"][mine["size"] > 0] == 3).all()
+        assert mine["target"].iloc[0] == pytest.approx(target)
+
+
+def test_rounding_against_the_definition(spark):
+    """Within a group the words owed are carried on from the largest document down."""
+    out = mixing.mix(sample(spark, 200, 6), group_rows=10_000).toPandas()
+    for _, part in out.assign(source=out["source"].fillna("~")).groupby("source"):
+        owed, want = 0.0, []
+        for size, rate in part.sort_values("size", ascending=False)[["size", "rate"]].itertuples(index=False):
+            whole = int(rate + 1e-12)
+            owed += max(rate - whole, 0) * size
+            more = rate - whole > 1e-12 and owed >= size / 2
+            owed -= size * more
+            want.append((size, whole + more))
+        assert sorted(want) == sorted(part[["size", "copies"]].itertuples(index=False, name=None))
+
+
+def test_newton_that_does_not_end_is_an_error(spark):
+    with pytest.raises(RuntimeError, match="miss their targets"):
+        mixing.mix(sample(spark), rounds=1)
+
+
+def test_many_rows_without_an_id_are_spread(spark):
+    df = spark.range(9000).selectExpr("CAST(NULL AS LONG) AS doc_id", "'s' AS source", "5L AS size").union(spark.range(900).selectExpr("id", "'t'", "id % 50 + 1"))
+    out = mixing.mix(df, group_rows=16).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    assert len(out) == 2 and all(abs(r["taken"] - r["target"]) <= 0.01 * r["target"] for r in out)
+
+
 def test_edges(spark):
     assert mixing.mix(spark.createDataFrame([], "doc_id long, source string, size long")).count() == 0
     out = mixing.mix(spark.createDataFrame([(1, None, 0, 5)], "doc_id long, source string, size long, target int"))

@@ -5,6 +5,7 @@ from collections import Counter
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from docketloom.llm import simhash
 from docketloom.llm.common import staged, table
@@ -98,6 +99,18 @@ def test_near_duplicates_leave_one_row_of_null_and_repeated_ids(spark):
     assert kept == Counter([(1, a), (None, b), (2, c), (3, d)])
 
 
+def test_columns_with_clashing_names_come_through(spark):
+    bad = table(spark, DIR, "benchmark").where("length(text) > 200").orderBy("item_id").first()["text"]
+    names = ["row", "score", "predicted", "bad_id", "bad_key", "copies", "size", "shard", "slot", "id", "key", "bytes", "tokens", "a", "h", "hash", "words"]
+    rows = [(1, bad, "a"), (2, "some clean words " * 40, "b"), (2, "some clean words " * 40, "b"), (3, "other quite long text " * 5_000, None)]
+    docs = spark.createDataFrame([(i, t, None, s, None) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({n: F.concat(F.lit(n), F.substring("text", 1, 9)) for n in names})
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, DIR).toPandas()
+        assert list(out.columns[: len(docs.columns)]) == docs.columns
+        assert all((out[n] == n + out["text"].str[:9]).all() for n in names)
+
+
 def test_stages_take_nulls_and_empty_tables(spark):
     docs = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", None, 0), (2, "a b c", None, "s", 5), (2, "a b c", None, "s", 5)], "doc_id long, text string, lang string, source string, n_chars long")
     for _, stage in corpus_pipeline.STAGES:

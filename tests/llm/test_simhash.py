@@ -6,7 +6,7 @@ import re
 import pytest
 import xxhash
 
-from docketloom.llm import simhash
+from docketloom.llm import graph, simhash
 
 
 def brute_fp(text):
@@ -93,6 +93,15 @@ def test_three_vantage_points_and_clashing_columns(spark):
     assert edges and all((u ^ v) & (2**64 - 1) for u, v in edges)
 
 
+@pytest.mark.parametrize("hot", [5, 40])
+def test_full_shards_in_blocks_find_the_same_links(spark, hot):
+    rows = corpus(150, 8)
+    fps = simhash.with_fingerprint(spark.createDataFrame(rows, "doc_id long, text string")).select("fp").distinct()
+    linked = lambda edges: {frozenset((r["node"], r["root"])) for r in graph.connected_components(edges).collect()}
+    # one vantage point makes the shards full
+    assert linked(simhash.close_edges(fps, vantages=1, hot=hot)) == linked(simhash.close_edges(fps)) != set()
+
+
 def test_empty_table_nulls_and_repeated_rows(spark):
     assert got(simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string"))) == []
     out = simhash.near_duplicates(spark.createDataFrame([(None, "a b c"), (4, "a b c"), (4, "a b c")], "doc_id long, text string")).collect()

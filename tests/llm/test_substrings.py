@@ -70,6 +70,27 @@ def test_hot_passage_with_other_neighbours(spark):
     assert got(spark, rows[:40], window=20, gram=4) == brute(rows[:40], window=20)
 
 
+@pytest.mark.parametrize("block", [1, 3, 20])
+def test_anchors_of_several_blocks(spark, block):
+    rows = corpus(4)
+    assert got(spark, rows, block=block) == brute(rows)
+
+
+def test_factors_cover_the_repeated_windows_and_are_long():
+    rnd = random.Random(2)
+    for _ in range(200):
+        bodies = list({" ".join(rnd.choices("abc", k=rnd.randint(6, 16))).encode() for _ in range(rnd.randint(1, 6))})
+        slid = lambda b: [tuple(b.split()[s : s + 6]) for s in range(len(b.split()) - 5)]
+        bodies = [b for b in bodies if len(set(slid(b))) == len(slid(b))]  # stretches hold no window twice
+        block, windows = substrings.Block(bodies, 6), list(map(slid, bodies))
+        for k, mine in enumerate(windows):
+            others = {w for j, x in enumerate(windows) if j != k for w in x}
+            factors = block.factors(k)
+            assert {s for a, b in factors for s in range(a, b - 5)} == {s for s, w in enumerate(mine) if w in others}
+            text = bodies[k].split()
+            assert all(any(b" ".join(text[a:b]) in x for j, x in enumerate(bodies) if j != k) for a, b in factors)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=60))
 def test_every_window_has_one_anchor_inside_it(words):
