@@ -48,5 +48,7 @@ def recent_cases(cases: DataFrame, limit: int = 10, year: int | None = None) ->
 
 
 def past_newest(df: DataFrame, keep: int, time_col: str, tie_col: str) -> DataFrame:
-    """All rows but the ``keep`` newest."""
-    return df.orderBy(F.desc(time_col), tie_col).offset(keep)
+    """All rows but the ``keep`` newest; times that are null are the oldest. Only the newest are sorted out in one task, the
+    rest stays where it is. Rows equal in both columns go together."""
+    newest = df.select(F.col(time_col).alias("__time"), F.col(tie_col).alias("__tie")).orderBy(F.desc_nulls_last("__time"), "__tie").limit(keep)
+    return df.join(F.broadcast(newest), F.col(time_col).eqNullSafe(F.col("__time")) & F.col(tie_col).eqNullSafe(F.col("__tie")), "left_anti")

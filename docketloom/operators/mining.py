@@ -44,7 +44,7 @@ def facts(cases: DataFrame, entries: DataFrame, mandamus: str = MANDAMUS, outcom
         rank = F.when(_says("summary", words), F.lit(k).cast("long")).otherwise(rank)
     names = sorted(offices)
     for k, name in reversed(list(enumerate(names))):
-        office = F.when(_says("summary", rf"\b{name}\b"), F.lit(k).cast("long")).otherwise(office)
+        office = F.when(_says("summary", rf"\b\Q{name}\E\b"), F.lit(k).cast("long")).otherwise(office)
     days = (F.datediff(F.coalesce("entry_date", F.to_date(F.lit(_NO_DATE))), F.to_date(F.lit("1970-01-01"))) + _SHIFT).cast("long")
     ordinal = F.greatest(F.coalesce(F.col("doc_id").cast("long"), F.lit(2**31 - 1)), F.lit(0))
     marked = entries.select("case_id", "entry_date", (rank * 2**32 + days).alias("outcome"), ((days * 2**31 + ordinal) * (_OFFICES + 1) + office).alias("visa"), _says("summary", mandamus).alias("mandamus"), _says("summary", RULE_9).alias("rule9"), _says("summary", LEAVE).alias("leave"))

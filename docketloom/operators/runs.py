@@ -23,10 +23,18 @@ def run_totals(events: DataFrame) -> DataFrame:
     )
 
 
-def batch_audit(events: DataFrame, sample: int = 1_000) -> DataFrame:
-    """For each run the totals and the sorted numbers that were skipped, the first ``sample`` of them; the count is of all."""
+def batch_audit(events: DataFrame, export_path: str | None = None) -> DataFrame:
+    """For each run its totals, how many different numbers were skipped, the first of them, and where the export went."""
     skipped = F.when(F.col("outcome") == "skipped", F.col("case_number"))
-    return events.groupBy("run_id").agg(F.count_if(F.col("outcome") == "success").alias("scraped_count"), F.count(skipped).alias("skipped_count"), F.slice(F.array_sort(F.collect_set(skipped)), 1, sample).alias("skipped"))
+    return events.groupBy("run_id").agg(
+        F.count_if(F.col("outcome") == "success").alias("scraped_count"), F.count(skipped).alias("skipped_count"), F.count_distinct(skipped).alias("skipped_numbers"), F.min(skipped).alias("first_skipped"),
+        F.lit(export_path).cast("string").alias("export_path"),
+    )
+
+
+def skipped_numbers(events: DataFrame) -> DataFrame:
+    """The list that goes with a batch's audit: every number that a run skipped, a row each."""
+    return events.where("outcome = 'skipped'").select("run_id", "case_number").distinct()
 
 
 def success_rate(events: DataFrame, every: int = 10) -> DataFrame:

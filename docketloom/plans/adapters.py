@@ -43,10 +43,10 @@ def _mapped(key: Column, values: dict[int, str], default: Column | None) -> Colu
     return out if default is None else out.otherwise(default)
 
 
-def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Docket entries from line items. (case_id, doc_id) is not unique."""
+def entries(spark: SparkSession, sf_dir: str, shift_months: int = 0) -> DataFrame:
+    """Docket entries from line items. (case_id, doc_id) is not unique. ``shift_months`` moves the dates in the ids, as in ``cases``."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_linestatus", "l_returnflag", "l_shipdate")
-    ids = table(spark, sf_dir, "orders").select("o_orderkey", _id().alias("case_id"))
+    ids = table(spark, sf_dir, "orders").select("o_orderkey", F.add_months(F.col("o_orderdate").cast("date"), shift_months).alias("filed")).select("o_orderkey", _id("filed").alias("case_id"))
     plain = F.concat(F.lit("Entry "), F.col("l_returnflag"), F.lit(" "), F.col("l_partkey").cast("string"))
     office = F.coalesce(F.concat(F.lit(" from "), _mapped(F.col("l_suppkey") % 8, OFFICES, None)), F.lit(""))
     return lines.join(ids, F.col("l_orderkey") == F.col("o_orderkey")).select(

@@ -111,16 +111,16 @@ def numbers_to_collect(s, d):
 # --- store ----------------------------------------------------------------------------------------------------------
 
 _SEQ3 = _sequence("case_id")
-_STORE = C + f""", target AS (SELECT case_id, office, scraped_at FROM cases WHERE {_SEQ3} % 10 < 7),
-source AS (SELECT case_id, upper(office) AS office, scraped_at + INTERVAL 1 DAY AS scraped_at FROM cases WHERE {_SEQ3} % 10 >= 5 UNION ALL SELECT case_id, lower(office), scraped_at FROM cases WHERE {_SEQ3} % 10 = 9),
+_STORE = C + """, target AS (SELECT case_id, office, scraped_at FROM cases WHERE filing_date < DATE '1997-01-01'),
+source AS (SELECT case_id, upper(office) AS office, scraped_at + INTERVAL 1 DAY AS scraped_at FROM cases WHERE filing_date >= DATE '1995-01-01' UNION ALL SELECT case_id, lower(office), scraped_at FROM cases WHERE action_type = 'F'),
 clean AS (SELECT case_id, office, scraped_at FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY scraped_at DESC, office DESC) AS r FROM source) WHERE r = 1) """
 
 
 def _store(s, d):
-    c = cases(s, d).select("case_id", "office", "scraped_at")
-    n = ids.sequence_of("case_id") % 10
-    source = c.where(n >= 5).select("case_id", F.upper("office").alias("office"), (F.col("scraped_at") + F.expr("INTERVAL 1 DAY")).alias("scraped_at"))
-    return c.where(n < 7), source.union(c.where(n == 9).select("case_id", F.lower("office"), "scraped_at"))
+    """What was stored by a day, and what is collected since two years before, finished cases a second time."""
+    c = cases(s, d)
+    source = c.where("filing_date >= DATE '1995-01-01'").select("case_id", F.upper("office").alias("office"), (F.col("scraped_at") + F.expr("INTERVAL 1 DAY")).alias("scraped_at"))
+    return c.where("filing_date < DATE '1997-01-01'").select("case_id", "office", "scraped_at"), source.union(c.where("action_type = 'F'").select("case_id", F.lower("office"), "scraped_at"))
 
 
 @query(_STORE + "SELECT coalesce(c.case_id, t.case_id) AS case_id, CASE WHEN c.case_id IS NULL THEN t.office ELSE c.office END AS office, CASE WHEN c.case_id IS NULL THEN t.scraped_at ELSE c.scraped_at END AS scraped_at FROM target t FULL JOIN clean c ON t.case_id = c.case_id")
@@ -166,9 +166,9 @@ def unnested_entries(s, d):
     return store.unnest(store.nest(cases(s, d).select("case_id"), entries(s, d)))
 
 
-@query(CE + f", thirds AS (SELECT * FROM cases WHERE {_SEQ3} % 3 <> 0) SELECT case_id, doc_id, entry_date, summary FROM entries e WHERE NOT EXISTS (SELECT 1 FROM thirds c WHERE c.case_id = e.case_id)")
+@query(CE + ", open AS (SELECT * FROM cases WHERE action_type <> 'F') SELECT case_id, doc_id, entry_date, summary FROM entries e WHERE NOT EXISTS (SELECT 1 FROM open c WHERE c.case_id = e.case_id)")
 def orphan_entries(s, d):
-    return store.orphans(entries(s, d), cases(s, d).where(ids.sequence_of("case_id") % 3 != 0)).select("case_id", "doc_id", "entry_date", "summary")
+    return store.orphans(entries(s, d), cases(s, d).where("action_type != 'F'")).select("case_id", "doc_id", "entry_date", "summary")
 
 
 @query(CE + "SELECT case_id, filing_date FROM cases c WHERE NOT EXISTS (SELECT 1 FROM entries e WHERE c.case_id = e.case_id)")
@@ -176,14 +176,16 @@ def cases_without_entries(s, d):
     return store.without_entries(cases(s, d), entries(s, d)).select("case_id", "filing_date")
 
 
-@query(C + "SELECT case_id AS case_id, case_id AS case_number, style_of_cause AS title, office AS court, filing_date AS date, case_type, action_type, language FROM cases")
+@query(CE + """SELECT case_id, case_type, action_type, CAST(NULL AS VARCHAR) AS nature_of_proceeding, filing_date, office, style_of_cause, language, CAST(NULL AS VARCHAR) AS url, CAST(NULL AS VARCHAR) AS html_content, scraped_at, case_id AS case_number,
+  style_of_cause AS title, office AS court, filing_date AS date, (SELECT coalesce(string_agg(doc_id || ' ' || summary, ';' ORDER BY doc_id, entry_date, entry_office, summary), '') FROM entries e WHERE e.case_id = c.case_id) AS docket_entries FROM cases c""")
 def case_dict(s, d):
-    return sinks.case_dict(cases(s, d)).select("case_id", "case_number", "title", "court", "date", "case_type", "action_type", "language")
+    nested = store.nest(cases(s, d), entries(s, d))
+    return sinks.case_dict(nested).withColumn("docket_entries", F.array_join(F.transform("docket_entries", lambda e: F.concat_ws(" ", e["doc_id"].cast("string"), e["summary"])), ";"))
 
 
-@query(C + "SELECT case_id, case_id AS case_number, coalesce(style_of_cause, '') AS title, coalesce(office, '') AS court, coalesce(CAST(filing_date AS VARCHAR), '') AS date, '' AS html_content FROM cases")
+@query(C + "SELECT case_id, case_id AS case_number, coalesce(style_of_cause, '') AS title, coalesce(office, '') AS court, coalesce(CAST(filing_date AS VARCHAR), '') AS date, '' AS html_content, coalesce(CAST(scraped_at AS VARCHAR), '') AS scraped_at FROM cases")
 def csv_row(s, d):
-    return sinks.csv_row(cases(s, d)).drop("scraped_at")
+    return sinks.csv_row(cases(s, d))
 
 
 @query(E + "SELECT CAST(NULL AS INT) AS id, case_id, coalesce(doc_id, 0) AS doc_id, entry_date, entry_office, summary FROM entries")
@@ -235,8 +237,7 @@ _PURGE = f"WITH {_SHIFTED}, {SQL_ENTRIES.replace('year(o_orderdate)', 'year(o_or
 
 
 def _purged(s, d):
-    shift = lambda c: F.concat(F.lit("IMM-"), ids.sequence_of(c).cast("string"), F.lit("-"), F.lpad(((ids.suffix_year(c) + 30) % 100).cast("string"), 2, "0"))
-    return cases(s, d, 360), entries(s, d).withColumn("case_id", shift("case_id"))
+    return cases(s, d, 360), entries(s, d, 360)
 
 
 @query(_PURGE + f"SELECT case_id, filing_date, office FROM cases WHERE NOT {_GONE}")
@@ -268,9 +269,14 @@ def run_totals(s, d):
     return runs.run_totals(outcomes(s, d))
 
 
-@query(O + "SELECT run_id, count(*) FILTER (outcome = 'success') AS scraped_count, count(*) FILTER (outcome = 'skipped') AS skipped_count, coalesce((list_sort(list(DISTINCT case_number) FILTER (outcome = 'skipped')))[1], '') AS first_skipped, coalesce(len(list(DISTINCT case_number) FILTER (outcome = 'skipped')), 0)::INT AS listed FROM outcomes GROUP BY run_id")
+@query(O + "SELECT run_id, count(*) FILTER (outcome = 'success') AS scraped_count, count(*) FILTER (outcome = 'skipped') AS skipped_count, count(DISTINCT case_number) FILTER (outcome = 'skipped') AS skipped_numbers, min(case_number) FILTER (outcome = 'skipped') AS first_skipped, 'cases.json' AS export_path FROM outcomes GROUP BY run_id")
 def batch_audit(s, d):
-    return runs.batch_audit(outcomes(s, d), 1_000_000).select("run_id", "scraped_count", "skipped_count", F.coalesce(F.get("skipped", F.lit(0)), F.lit("")).alias("first_skipped"), F.size("skipped").alias("listed"))
+    return runs.batch_audit(outcomes(s, d), "cases.json")
+
+
+@query(O + "SELECT DISTINCT run_id, case_number FROM outcomes WHERE outcome = 'skipped'")
+def skipped_numbers(s, d):
+    return runs.skipped_numbers(outcomes(s, d))
 
 
 _DONE = O + ", done AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY seq) AS processed, sum(CASE WHEN outcome = 'success' THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY seq) AS successes FROM outcomes WHERE outcome <> 'skipped')"
@@ -307,9 +313,11 @@ def retry_candidates(s, d):
     return runs.retry_candidates(outcomes(s, d))
 
 
-@query(O + """SELECT run_id, seq, '{"case_number":"' || case_number || '","outcome":"' || outcome || '"}' AS value FROM outcomes""")
+@query(O + """SELECT run_id, seq, '{"case_number":"' || case_number || '","outcome":"' || outcome || '"}' AS value FROM outcomes
+UNION ALL SELECT DISTINCT run_id, CAST(-1 AS BIGINT), '{"event":"start","run_id":"' || run_id || '"}' FROM outcomes
+UNION ALL SELECT run_id, 4611686018427387904, '{"event":"finish","total":' || count(*) || ',"success":' || count(*) FILTER (outcome = 'success') || ',"skipped":' || count(*) FILTER (outcome = 'skipped') || ',"failed":' || count(*) FILTER (outcome = 'failed') || '}' FROM outcomes GROUP BY run_id""")
 def run_log_lines(s, d):
-    return runs.run_log(outcomes(s, d)).where(F.col("seq").between(0, 2**61)).select("run_id", "seq", "value")
+    return runs.run_log(outcomes(s, d)).select("run_id", "seq", "value")
 
 
 # --- texts, dates, HTML -----------------------------------------------------------------------------------------------
@@ -328,11 +336,13 @@ def page_text(s, d):
     return table(s, d, "pages").select("page_id", html.strip_tags("html").alias("text"))
 
 
-@query(r"SELECT page_id, regexp_matches(url, '^https?://[^/]+') AND position('/p' IN url) > 0 AS valid FROM pages")
+#: Hosts and path of the pages that ``page_urls`` takes as case pages.
+_HOSTS = ["blog.tionsh.example.net", "thther.example.org", "blog.ththan.example.net", "blog.tiontion.example.com", "m.ththth.example.net", "www.ththhe.example.com", "ththed.example.org", "blog.ththon.example.net"]
+
+
+@query(f"""SELECT page_id, coalesce(regexp_extract(url, '^https?://([^/?#]*)', 1) IN ({", ".join(f"'{h}'" for h in _HOSTS)}) AND position('/en/' IN regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1)) > 0 AND NOT regexp_matches(regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '(?i)login|efiling'), false) AS valid FROM pages""")
 def page_urls(s, d):
-    pages = table(s, d, "pages")
-    host = F.try_parse_url(F.col("url"), F.lit("HOST"))
-    return pages.select("page_id", (validate.valid_url("url", hosts=[""], path="") | (host.isNotNull() & F.contains("url", F.lit("/p")))).alias("valid"))
+    return table(s, d, "pages").select("page_id", validate.valid_url("url", hosts=_HOSTS, path="/en/").alias("valid"))
 
 
 def _as_html(e: DataFrame) -> DataFrame:
@@ -404,10 +414,11 @@ def file_stems(s, d):
     return cases(s, d).select("case_id", ids.export_year("case_id", "filing_date", "scraped_at", today).alias("year"), ids.file_stem("case_id", "filing_date", "scraped_at", today).alias("stem"))
 
 
-@query(C + ", n AS (SELECT case_id, office AS stem, row_number() OVER (PARTITION BY office ORDER BY case_id) AS r FROM cases) SELECT case_id, stem, CASE WHEN r = 1 THEN stem WHEN r <= 101 THEN stem || '-' || (r - 1) END AS unique_stem FROM n")
+@query(C + ", n AS (SELECT case_id, office AS stem, row_number() OVER (PARTITION BY office ORDER BY case_id) + CASE WHEN office < 'K' THEN 2 ELSE 0 END AS r FROM cases) SELECT case_id, stem, CASE WHEN r = 1 THEN stem WHEN r <= 101 THEN stem || '-' || (r - 1) END AS unique_stem FROM n")
 def unique_stems(s, d):
     c = cases(s, d).select("case_id", F.col("office").alias("stem"))
-    return store.unique_stems(c, c.select("stem").limit(0))
+    there = table(s, d, "nation").where("n_name < 'K'").select(F.col("n_name").alias("stem"))
+    return store.unique_stems(c, there.union(there.select(F.concat("stem", F.lit("-1")))))
 
 
 @query(C + "SELECT case_id, office, language FROM cases")
@@ -430,14 +441,15 @@ def case_violations(s, d):
     return validate.case_violations(cases(s, d), "1996-01-01", "1999-12-31").withColumn("violations", F.array_join("violations", ","))
 
 
-@query(CE + f", thirds AS (SELECT case_id FROM cases WHERE {_SEQ3} % 3 <> 0) SELECT case_id, doc_id, concat_ws(',', CASE WHEN case_id NOT IN (SELECT case_id FROM thirds) THEN 'case' END, CASE WHEN count(*) OVER (PARTITION BY case_id, doc_id) > 1 THEN 'unique' END) AS violations FROM entries")
+@query(CE + ", open AS (SELECT case_id FROM cases WHERE action_type <> 'F') SELECT case_id, doc_id, concat_ws(',', CASE WHEN case_id NOT IN (SELECT case_id FROM open) THEN 'case' END, CASE WHEN count(*) OVER (PARTITION BY case_id, doc_id) > 1 THEN 'unique' END) AS violations FROM entries")
 def entry_violations(s, d):
-    return validate.entry_violations(entries(s, d), cases(s, d).where(ids.sequence_of("case_id") % 3 != 0)).withColumn("violations", F.array_join("violations", ","))
+    return validate.entry_violations(entries(s, d), cases(s, d).where("action_type != 'F'")).withColumn("violations", F.array_join("violations", ","))
 
 
-@query(C + "SELECT case_id, 'url,html_content' AS violations FROM cases")
+@query(C + "SELECT case_id, concat_ws(',', CASE WHEN language = 'French' THEN 'url' END, CASE WHEN action_type = 'P' THEN 'case_id' END, CASE WHEN case_type NOT LIKE '1%' THEN 'html_content' END, CASE WHEN action_type = 'P' THEN 'pattern' END) AS violations FROM (SELECT * REPLACE (CASE WHEN action_type = 'P' THEN '' ELSE case_id END AS case_id) FROM cases)")
 def contract_violations(s, d):
-    return validate.contract_violations(cases(s, d)).withColumn("violations", F.array_join("violations", ","))
+    c = cases(s, d).withColumns({"case_id": F.when(F.col("action_type") == "P", "").otherwise(F.col("case_id")), "url": F.when(F.col("language") == "English", "https://x"), "html_content": F.when(F.col("case_type").like("1%"), "<p>").otherwise(" ")})
+    return validate.contract_violations(c).withColumn("violations", F.array_join("violations", ","))
 
 
 # --- analytics --------------------------------------------------------------------------------------------------------
@@ -560,10 +572,98 @@ def mean_age_by_visa_office(s, d):
     return mining.mean_age_by(_facts(s, d), AS_OF)
 
 
-@query(C + f"SELECT case_id, filing_date FROM cases WHERE {_SEQ3} % 4 <> 0")
+@query(C + "SELECT case_id, filing_date FROM cases WHERE case_type <> '1-URGENT'")
 def still_to_enrich(s, d):
-    c = cases(s, d).select("case_id", "filing_date")
-    return mining.still_to_enrich(c, c.where(ids.sequence_of("case_id") % 4 == 0))
+    c = cases(s, d)
+    return mining.still_to_enrich(c.select("case_id", "filing_date"), c.where("case_type = '1-URGENT'").select("case_id", "filing_date"))
+
+
+# --- projections, exports, clean-up -------------------------------------------------------------------------------------
+
+_UNDATED = "SELECT * REPLACE (CASE WHEN case_type LIKE '5%' THEN NULL ELSE filing_date END AS filing_date) FROM cases"
+
+
+def _undated(s, d):
+    return cases(s, d).withColumn("filing_date", F.when(~F.col("case_type").like("5%"), F.col("filing_date")))
+
+
+@query(C + f"SELECT case_id, filing_date FROM ({_UNDATED}) WHERE filing_date IS NOT NULL")
+def clean_cases(s, d):
+    return mining.clean(_undated(s, d)).select("case_id", "filing_date")
+
+
+@query(C + f"SELECT case_id, filing_date IS NULL AS no_filing_date FROM ({_UNDATED})")
+def flagged_cases(s, d):
+    return mining.clean(_undated(s, d), drop=False).select("case_id", "no_filing_date")
+
+
+@query(C + "SELECT case_id, CASE WHEN language = 'English' THEN 'HTML ' || office ELSE office END AS office, language FROM cases")
+def header_or_html(s, d):
+    page = F.when(F.col("language") == "English", F.concat(F.lit("<p><strong>Office:</strong> HTML "), "office", F.lit("</p>"))).otherwise("<p>nothing</p>")
+    found = cases(s, d).select("case_id", html.cleaned_header(page, {"office": F.col("office"), "language": F.col("language")}).alias("h"))
+    return found.select("case_id", "h.*")
+
+
+@query(C + ", x AS (SELECT case_id, [style_of_cause, '', office, language] AS c FROM cases), y AS (SELECT case_id, unnest(c) AS t, unnest([1, 2, 3, 4]) AS i FROM x), z AS (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY length(t), i) AS up, row_number() OVER (PARTITION BY case_id ORDER BY length(t) DESC, i) AS down FROM y WHERE t <> '') SELECT case_id, max(t) FILTER (down = 1) AS longest, max(t) FILTER (up = 1) AS shortest, max(t) FILTER (up = 2) AS second FROM z GROUP BY case_id")
+def longest_and_shortest(s, d):
+    return cases(s, d).select("case_id", records.longest_and_shortest(F.array("style_of_cause", F.lit(""), "office", "language")).alias("r")).select("case_id", "r.*")
+
+
+@query(C + "SELECT case_id, case_type, action_type, filing_date, office, style_of_cause, language FROM cases")
+def allowed_fields(s, d):
+    return records.allowed(cases(s, d).withColumn("secret", F.lit(1)))
+
+
+@query(CE + "SELECT c.case_id, c.office, count(e.doc_id) AS n_entries, '2025-01-02 03:04:05' AS stamped FROM cases c LEFT JOIN entries e ON e.case_id = c.case_id GROUP BY ALL")
+def case_payload(s, d):
+    made = sinks.payload(store.nest(cases(s, d), entries(s, d)), F.lit("2025-01-02 03:04:05").cast("timestamp_ntz"))
+    return made.select("case.case_id", "case.office", F.size("docket_entries").cast("long").alias("n_entries"), F.col("scraped_at").cast("string").alias("stamped"))
+
+
+@query("SELECT p_partkey, replace(p_name || '/' || p_type, '/', '_') AS safe FROM part")
+def path_safe_names(s, d):
+    return table(s, d, "part").select("p_partkey", ids.path_safe(F.concat("p_name", F.lit("/"), "p_type")).alias("safe"))
+
+
+@query(C + "SELECT case_id, strftime(scraped_at, '%Y%m%d_%H%M%S') AS stamp FROM cases")
+def time_stamps(s, d):
+    return cases(s, d).select("case_id", ids.stamp(F.col("scraped_at")).alias("stamp"))
+
+
+@query(f"SELECT 'IMM-' || page_id || '-25' AS case_id, {_TITLE} AS style_of_cause, 'Web' AS office, DATE '2025-01-01' AS filing_date, url, md5(html) AS html_content FROM pages")
+def pages_as_cases(s, d):
+    made = records.cases_from_pages(table(s, d, "pages"), ids.format_number("page_id", 2025), html.page_title("html"), F.lit("Web"), F.lit("2025-01-01"))
+    return made.withColumn("html_content", F.md5(F.col("html_content").cast("binary")))
+
+
+@query(C + "SELECT case_id FROM (SELECT case_id, row_number() OVER (ORDER BY scraped_at DESC, case_id) AS r FROM cases) WHERE r > 25")
+def exports_beyond_newest(s, d):
+    files = cases(s, d).select(F.col("case_id").alias("path"), F.col("scraped_at").alias("modificationTime"))
+    return sinks.beyond_newest(files, 25).select(F.col("path").alias("case_id"))
+
+
+@query(_STORE + "SELECT count(*) AS successful, 0 AS failed, count(*) FILTER (case_id NOT IN (SELECT case_id FROM target)) AS new, count(*) FILTER (case_id IN (SELECT case_id FROM target)) AS updated FROM source")
+def export_totals(s, d):
+    target, source = _store(s, d)
+    return records.export_plan(source, target, F.lit("2025-01-02 03:04:05").cast("timestamp"))["totals"]
+
+
+@query(_STORE + "SELECT coalesce(c.case_id, t.case_id) AS case_id, coalesce(c.office, t.office) AS office FROM target t FULL JOIN clean c ON t.case_id = c.case_id")
+def export_new_state(s, d):
+    target, source = _store(s, d)
+    return records.export_plan(source, target, F.lit("2025-01-02 03:04:05").cast("timestamp"))["cases"].select("case_id", "office")
+
+
+@query(_PURGE + f"SELECT case_id FROM cases WHERE {_SUFFIX.format('case_id')} = 2026")
+def purge_by_number(s, d):
+    return purge.doomed(_purged(s, d)[0], 2026, by="id").select("case_id")
+
+
+@query(_PURGE + f", g AS (SELECT case_id FROM cases WHERE {_GONE}), f AS (SELECT p_name AS path, CASE WHEN p_size < 25 THEN 'output' ELSE 'modal_html' END AS kind FROM part) SELECT 2027 AS year, true AS dry_run, (SELECT count(*) FROM g) AS cases_deleted, (SELECT count(*) FROM f WHERE kind = 'output') AS output_files, (SELECT count(*) FROM f WHERE kind = 'modal_html') AS modal_html_files, (SELECT min(path) FROM f WHERE kind = 'output') AS first_output")
+def purge_file_audit(s, d):
+    c, e = _purged(s, d)
+    files = table(s, d, "part").select(F.col("p_name").alias("path"), F.when(F.col("p_size") < 25, "output").otherwise("modal_html").alias("kind"))
+    return purge.audit(c, e, 2027, files=files, dry_run=True).select("year", "dry_run", "cases_deleted", "output_files", "modal_html_files", F.get("first_output", F.lit(0)).alias("first_output"))
 
 
 #: Dates and times of the results, which are handed out as ISO texts so that every reader compares them alike.
@@ -580,7 +680,11 @@ TIMES = {
     "unnested_entries": ["entry_date"],
     "orphan_entries": ["entry_date"],
     "cases_without_entries": ["filing_date"],
-    "case_dict": ["date"],
+    "case_dict": ["date", "filing_date", "scraped_at"],
+    "skipped_numbers": ["run_id"],
+    "clean_cases": ["filing_date"],
+    "allowed_fields": ["filing_date"],
+    "pages_as_cases": ["filing_date"],
     "entry_dict": ["entry_date"],
     "entries_from_records": ["entry_date"],
     "alias_resolved": ["filing_date"],

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ids
@@ -57,10 +59,57 @@ def write_json_array(cases: DataFrame, path: str, most: int = 100_000) -> None:
 
 
 def write_case_files(nested: DataFrame, path: str, today: Column, mode: str = "overwrite") -> None:
-    """Cases under a folder for each year. Years are spread over tasks by the number's hash, so no year waits for one task."""
+    """Cases in bulk under a folder for each year, which is replaced if it is there; other years stay as they are. Years are
+    spread over tasks as the rows come, so no year waits for one task. ``write_each_case`` writes a file for each case."""
     year = ids.export_year("case_id", "filing_date", "scraped_at", today)
     stem = ids.file_stem("case_id", "filing_date", "scraped_at", today)
-    nested.withColumn("file_stem", stem).withColumn("year", year).write.mode(mode).partitionBy("year").options(**_OPTIONS).json(path)
+    nested.withColumn("file_stem", stem).withColumn("year", year).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("year").options(**_OPTIONS).json(path)
+
+
+def write_each_case(nested: DataFrame, path: str, today: Column, suffixes: bool = False) -> int:
+    """One JSON file for each case, ``<path>/<year>/<stem>.json``; how many. A file of that name is replaced; with ``suffixes``
+    it stays and the new one gets ``-1``, ``-2``, ... Each file is written beside its place and then moved there by the task that
+    has the case, so that a repeated task leaves the same files."""
+    from ..operators import store
+
+    spark = nested.sparkSession
+    year, stem = ids.export_year("case_id", "filing_date", "scraped_at", today), ids.file_stem("case_id", "filing_date", "scraped_at", today)
+    named = nested.select("case_id", F.concat_ws("/", year.cast("string"), stem).alias("stem"), F.to_json(F.struct("*"), _OPTIONS).alias("text"))
+    if suffixes:
+        there = [f"{f.getParent().getName()}/{f.getName().removesuffix('.json')}" for f in _glob(spark, f"{path}/*/*.json")]
+        named = store.unique_stems(named, spark.createDataFrame([(x,) for x in there], "stem string")).withColumn("stem", F.coalesce("unique_stem", F.raise_error(F.lit("no free name for a case"))))
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs as files
+
+        fs, root = files.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+        for part in batches:
+            for name, text in zip(part["stem"], part["text"], strict=True):
+                fs.create_dir(f"{root}/{name.split('/')[0]}")
+                beside = f"{root}/{name}.{uuid.uuid4().hex}.tmp"
+                with fs.open_output_stream(beside) as out:
+                    out.write(text.encode("utf-8"))
+                if fs.type_name != "local" and fs.get_file_info(f"{root}/{name}.json").type != files.FileType.NotFound:
+                    fs.delete_file(f"{root}/{name}.json")
+                fs.move(beside, f"{root}/{name}.json")
+            yield pd.DataFrame({"n": [len(part)]})
+
+    return named.select("stem", "text").mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def _glob(spark: SparkSession, pattern: str) -> list:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return [s.getPath() for s in path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, audits for instance, written whole from the driver."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
 
 
 def write_clean_csv(cases: DataFrame, entries: DataFrame, path: str) -> None:
@@ -81,20 +130,61 @@ def beyond_newest(files: DataFrame, keep: int = 10) -> DataFrame:
     return files.join(F.broadcast(newest), "path", "left_anti")
 
 
+def _move(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"can't move {source} to {target}")
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Put a table back that a ``swap`` had moved aside when it was cut off, and clear what such a swap left."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    for old in sorted(_glob(spark, f"{path}.old-*"), key=lambda p: fs.getFileStatus(p).getModificationTime(), reverse=True):
+        if fs.exists(place):
+            fs.delete(old, True)
+        else:
+            _move(fs, old, place)
+
+
 def swap(df: DataFrame, path: str) -> None:
-    """Replace the table at ``path`` by ``df``, which may read it: write beside it, then rename; a failed write changes nothing."""
+    """Replace the table at ``path`` by ``df``, which may read it: write beside it, then move the old one aside and the new one
+    in. If a step fails, the old table is put back; if the driver is lost in between, ``recover`` does that."""
     spark = df.sparkSession
     hadoop = spark._jvm.org.apache.hadoop.fs
-    staged, old = hadoop.Path(f"{path}.new-{uuid.uuid4().hex}"), hadoop.Path(f"{path}.old-{uuid.uuid4().hex}")
-    df.write.parquet(staged.toString())
-    fs, place = staged.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop.Path(path)
-    if fs.exists(place):
-        fs.rename(place, old)
-    fs.rename(staged, place)
+    new, old, place = hadoop.Path(f"{path}.new-{uuid.uuid4().hex}"), hadoop.Path(f"{path}.old-{uuid.uuid4().hex}"), hadoop.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        df.write.parquet(new.toString())
+        there = fs.exists(place)
+        if there:
+            _move(fs, place, old)
+        try:
+            _move(fs, new, place)
+        except Exception:
+            if there:
+                _move(fs, old, place)
+            raise
+    except Exception:
+        fs.delete(new, True)
+        raise
     fs.delete(old, True)
     spark.catalog.refreshByPath(path)
 
 
+def remove_year(spark: SparkSession, root: str, year: int) -> dict[str, int]:
+    """Remove the folder of a year: it is moved out of the way first, so that nobody sees it half gone. Counts of files and folders."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place, gone = hadoop.Path(f"{root}/{year}"), hadoop.Path(f"{root}/{year}_to_delete_{uuid.uuid4().hex}")
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(place):
+        return {"removed_files": 0, "removed_dirs": 0}
+    _move(fs, place, gone)
+    found = fs.getContentSummary(gone)
+    out = {"removed_files": found.getFileCount(), "removed_dirs": found.getDirectoryCount() - 1}
+    fs.delete(gone, True)
+    return out
+
+
 def remove_files(files: DataFrame) -> dict[str, int]:
     """Delete listed files, in the executors' stead, one path at a time as they stream in; counts of removed and missing ones."""
     spark, done = files.sparkSession, {"removed": 0, "skipped": 0}

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.store import upsert
 from ..schema import CASE_DDL
-from ..sources.sinks import swap
+from ..sources.sinks import recover, swap
 
 
 def follow_cases(spark: SparkSession, folder: str, store: str, order: list[str] | None = None) -> DataStreamWriter:
@@ -15,6 +15,7 @@ def follow_cases(spark: SparkSession, folder: str, store: str, order: list[str]
     Repeating a batch changes nothing, so a restart from the checkpoint is safe."""
 
     def put(batch: DataFrame, _: int) -> None:
+        recover(spark, store)
         path = spark._jvm.org.apache.hadoop.fs.Path(store)
         there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
         target = spark.read.schema(batch.schema).parquet(store) if there else spark.createDataFrame([], batch.schema)

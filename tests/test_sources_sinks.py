@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from docketloom.operators import store
+from docketloom.operators import purge, store
 from docketloom.sources import config, readers, sinks
 from docketloom.sources.pluggable import CaseSource, load_class
 from docketloom.streaming.ingest import follow_cases
@@ -45,6 +45,25 @@ def test_case_files_by_year(spark, nested, tmp_path):
     assert back.count() == 4 and back.where("size(docket_entries) = 1").first()["year"] == 2024
 
 
+def test_exporting_one_year_keeps_the_others(spark, nested, tmp_path):
+    for year in (23, 24):
+        sinks.write_case_files(nested.where(F.col("case_id").endswith(f"-{year}")), str(tmp_path / "json"), F.to_date(F.lit("2030-01-01")))
+    assert {(r["year"], r["case_id"]) for r in readers.read_case_files(spark, str(tmp_path / "json")).collect()} == {(2024, "IMM-1-24"), (2023, "IMM-2-23"), (2024, "IMM-3-24"), (2023, "IMM-4-23")}
+
+
+def test_a_file_for_each_case(spark, nested, tmp_path):
+    today, root = F.to_date(F.lit("2030-01-01")), tmp_path / "json"
+    for _ in range(2):
+        assert sinks.write_each_case(nested, str(root), today) == 4
+    names = ["2023/IMM-2-23-20230101.json", "2023/IMM-4-23-20230101.json", "2024/IMM-1-24-20240101.json", "2024/IMM-3-24-20240101.json"]
+    assert sorted(str(p.relative_to(root)) for p in root.rglob("*") if p.is_file()) == names
+    got = json.loads((root / names[2]).read_text())
+    assert got["case_id"] == "IMM-1-24" and got["style_of_cause"] == TEXTS[0] and got["docket_entries"][0]["doc_id"] == 1
+    for k in (1, 2):
+        assert sinks.write_each_case(nested.where("case_id = 'IMM-1-24'"), str(root), today, suffixes=True) == 1
+        assert (root / f"2024/IMM-1-24-20240101-{k}.json").exists()
+
+
 def test_csv(spark, nested, tmp_path):
     row = sinks.csv_row(nested)
     assert row.columns == ["case_id", "case_number", "title", "court", "date", "html_content", "scraped_at"]
@@ -89,6 +108,64 @@ def test_swap_replaces_what_it_reads(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [1, 2] and len(list(tmp_path.iterdir())) == 1
 
 
+@pytest.mark.parametrize("step", [1, 2])
+def test_swap_that_fails_keeps_the_table(spark, tmp_path, monkeypatch, step):
+    path, calls, move = str(tmp_path / "t"), [], sinks._move
+    sinks.swap(spark.range(3), path)
+
+    def failing(fs, source, target):
+        calls.append(1)
+        if len(calls) == step:
+            raise OSError("no")
+        move(fs, source, target)
+
+    monkeypatch.setattr(sinks, "_move", failing)
+    with pytest.raises(OSError, match="no"):
+        sinks.swap(spark.range(9), path)
+    assert spark.read.parquet(path).count() == 3 and len(list(tmp_path.iterdir())) == 1
+
+
+def test_a_table_moved_aside_is_put_back(spark, tmp_path):
+    path = tmp_path / "t"
+    sinks.swap(spark.range(3), str(path))
+    path.rename(tmp_path / "t.old-1")
+    sinks.recover(spark, str(path))
+    assert spark.read.parquet(str(path)).count() == 3
+    (tmp_path / "t.old-2").mkdir()
+    sinks.recover(spark, str(path))
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def purge_setting(spark, root):
+    cases = [("IMM-1-24", date(2024, 1, 1)), ("IMM-2-23", date(2023, 1, 1))]
+    spark.createDataFrame(cases, "case_id string, filing_date date").write.parquet(f"{root}/cases")
+    spark.createDataFrame([(c, 1) for c, _ in cases], "case_id string, doc_id int").write.parquet(f"{root}/entries")
+    for name in ("out/2024/a.json", "out/2024/x/b.json", "out/json/2024/c.json", "out/2023/d.json", "logs/modal_2024.html"):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text("x")
+    return {"cases_path": f"{root}/cases", "entries_path": f"{root}/entries", "output_root": f"{root}/out", "logs_root": f"{root}/logs", "audit_path": f"{root}/audit.json"}
+
+
+def test_purge_runs(spark, tmp_path):
+    paths = purge_setting(spark, tmp_path)
+    dry = purge.execute(spark, 2024, **paths)
+    assert dry["cases_deleted"] == 1 and (tmp_path / "out/2024/a.json").exists() and spark.read.parquet(paths["cases_path"]).count() == 2
+    done = purge.execute(spark, 2024, **paths, backup=str(tmp_path / "backup"), dry_run=False)
+    assert (done["cases_deleted"], done["entries_deleted"], done["output_removed"], done["modal_html_removed"]["removed"]) == (1, 1, {"removed_files": 3, "removed_dirs": 1}, 1)
+    assert [r[0] for r in spark.read.parquet(paths["cases_path"]).select("case_id").collect()] == [r[0] for r in spark.read.parquet(paths["entries_path"]).select("case_id").collect()] == ["IMM-2-23"]
+    assert (tmp_path / "out/2023/d.json").exists() and not (tmp_path / "out/2024").exists() and (tmp_path / "backup/2024/a.json").exists()
+    assert json.loads((tmp_path / "audit.json").read_text())["backed_up"] == done["backed_up"] >= 2
+
+
+@pytest.mark.parametrize(("options", "kept"), [({"strict": True}, True), ({"strict": True, "force_files": True}, False), ({}, False)])
+def test_purge_without_tables(spark, tmp_path, options, kept):
+    paths = purge_setting(spark, tmp_path) | {"cases_path": f"{tmp_path}/none"}
+    out = purge.execute(spark, 2024, **paths, dry_run=False, **options)
+    assert out["errors"] and (tmp_path / "out/2024/a.json").exists() == kept
+    with pytest.raises(ValueError, match="exclude"):
+        purge.execute(spark, 2024, **paths, files_only=True, db_only=True)
+
+
 SERVICE = '''
 class Fake:
     def fetch_case_and_docket(self, number, flag):
