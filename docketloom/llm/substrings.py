@@ -26,7 +26,7 @@ _PRIME = np.uint64(0x9E3779B97F4A7C15)
 #: Texts and stretches remembered in a task to pass over copies early.
 _SEEN = 100_000
 #: Stretches of an anchor beyond which it has several blocks.
-BLOCK = 4_096
+BLOCK = 512
 EMPTY = hashlib.sha256(b"").hexdigest()
 
 
