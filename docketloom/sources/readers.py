@@ -57,8 +57,9 @@ def year_html_logs(spark: SparkSession, root: str, year: int) -> DataFrame:
 
 
 def read_database(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
-    """A query against a database; filters and columns are pushed down. Large tables take partitionColumn and its bounds."""
-    return spark.read.format("jdbc").options(url=url, query=query, **options).load()
+    """A query against a database; filters and columns are pushed down. Large tables take ``partitionColumn``, its bounds and
+    ``numPartitions``, so that many tasks read them; for that the query goes in as a derived table."""
+    return spark.read.format("jdbc").options(url=url, dbtable=f"({query}) t", **options).load()
 
 
 def numbers(spark: SparkSession, year: int, start: int = 1, count: int = 10_000) -> DataFrame:

@@ -1,6 +1,7 @@
 """Reading back what is written, listings, clean-up, the pluggable source, the stream."""
 
 import json
+import shutil
 from datetime import date, datetime
 from pathlib import Path
 
@@ -8,8 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from docketloom.operators import purge, store
+from docketloom.schema import CASE_DDL
 from docketloom.sources import config, readers, sinks
 from docketloom.sources.pluggable import CaseSource, load_class
+from docketloom.streaming import ingest
 from docketloom.streaming.ingest import follow_cases
 
 TEXTS = ["spécial chars: éñü 测试", 'quotes "x", commas', "two\nlines", None]
@@ -192,7 +195,59 @@ def test_follow_a_folder(spark, tmp_path):
 
     put("1.json", ("a", "x", "2024-01-01T00:00:00"), ("b", "y", "2024-01-01T00:00:00"))
     put("2.json", ("b", "z", "2024-02-01T00:00:00"), ("b", "old", "2024-01-15T00:00:00"))
-    assert sorted((r["case_id"], r["office"]) for r in spark.read.parquet(store_path).collect()) == [("a", "x"), ("b", "z")]
+    assert stored(spark, store_path) == [("a", "x"), ("b", "z")]
+    put("3.json", ("c", "w", None), (None, "no number", None), ("a", "x2", "2023-01-01T00:00:00"))
+    assert stored(spark, store_path) == [("a", "x2"), ("b", "z"), ("c", "w")]
+
+
+def stored(spark, path):
+    return sorted((r["case_id"], r["office"]) for r in ingest.CaseStore(spark, path).cases().collect())
+
+
+def a_batch(spark, *cases):
+    return spark.createDataFrame([(c, o) for c, o in cases], "case_id string, office string").select("*", *[F.lit(None).cast(t).alias(n) for n, t in (c.split() for c in CASE_DDL.split(", ")) if n not in ("case_id", "office")]).select([c.split()[0] for c in CASE_DDL.split(", ")])
+
+
+@pytest.mark.parametrize(("fold", "most"), [(0.0, 64), (1e9, 2), (1e9, 64)])
+def test_a_store_of_batches(spark, tmp_path, monkeypatch, fold, most):
+    """Whether batches are folded at once, joined in the log or left alone, the same cases are read."""
+    monkeypatch.setattr(ingest, "FOLD", fold)
+    monkeypatch.setattr(ingest, "MOST_FOLDERS", most)
+    store, want = ingest.CaseStore(spark, str(tmp_path)), {}
+    assert stored(spark, str(tmp_path)) == []
+    for k in range(5):
+        mine = {f"c{k}": f"o{k}", "same": f"o{k}", f"c{k // 2}": f"late{k}"}
+        store.put(a_batch(spark, *mine.items()), ["office"])
+        want |= mine
+        assert stored(spark, str(tmp_path)) == sorted(want.items())
+    store.put(a_batch(spark, *mine.items()), ["office"])  # again
+    store.put(a_batch(spark), ["office"])
+    assert stored(spark, str(tmp_path)) == sorted(want.items())
+    left = len(list((tmp_path / "log").iterdir()))
+    assert left == 7 if most == 64 and fold > 1 else left <= 3
+
+
+def test_what_a_cut_off_fold_leaves_changes_nothing(spark, tmp_path, monkeypatch):
+    store = ingest.CaseStore(spark, str(tmp_path))
+    monkeypatch.setattr(ingest, "FOLD", 1e9)
+    for office in ("old", "new"):
+        store.put(a_batch(spark, ("a", office)), ["office"])
+    monkeypatch.setattr(store, "_clear", lambda folders: shutil.rmtree(tmp_path / "log" / f"n{1:012d}"))
+    store.fold()  # only the newer batch is cleared
+    (tmp_path / "log" / f"n{0:012d}.new-x").mkdir()
+    assert stored(spark, str(tmp_path)) == [("a", "new")]
+
+
+def test_database(spark):
+    """A database reads as one table, or in parts by a column; filters reach it."""
+    url = "jdbc:derby:memory:cases;create=true"
+    spark.range(100).selectExpr("cast(id as int) as N", "concat('IMM-', id, '-24') as CASE_ID").write.format("jdbc").options(url=url, dbtable="stored").mode("overwrite").save()
+    query = "SELECT n, case_id FROM stored WHERE n >= 10"
+    assert readers.read_database(spark, url, query).count() == 90
+    parts = readers.read_database(spark, url, query, partitionColumn="N", lowerBound="0", upperBound="100", numPartitions="4")
+    assert parts.rdd.getNumPartitions() == 4 and parts.count() == 90
+    one = parts.where("N = 42")
+    assert [r["CASE_ID"] for r in one.collect()] == ["IMM-42-24"] and "PushedFilters: [*IsNotNull(N), *EqualTo(N,42)]" in one._jdf.queryExecution().toString()
 
 
 def test_settings(tmp_path, monkeypatch):
