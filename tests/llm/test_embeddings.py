@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docketloom.llm import embeddings
 
@@ -66,6 +67,15 @@ def test_bad_vectors_and_edges(spark):
     assert got(spark, [(5, [1.0, 2.0])]) == [(5, 0, 5)]
 
 
+def test_columns_with_clashing_names_play_no_part(spark):
+    src = [*rows(20, 8, 3), (None, [1.0] * 8), (99, [1.0] * 8)]
+    plain = spark.createDataFrame(src, "vec_id long, embedding array<float>")
+    taken = ("id", "v", "n", "class", "least", "links", "root", "shard", "n_links", "component_id", "known_v")
+    more = plain.select("*", *[F.lit(7 if k % 2 else None).alias(c) for k, c in enumerate(taken)])
+    found = [sorted(map(tuple, embeddings.similar(df).select("vec_id", "n_links", "component_id").collect()), key=str) for df in (plain, more)]
+    assert found[0] == found[1] and found[0][-1] == (None, 1, 99)
+
+
 def test_list_decoding_finds_exactly_the_exceeding_filters():
     caps = embeddings.Caps(10, 9, 0.35, fewest=1)
     x = np.random.default_rng(4).standard_normal((50, 10))
