@@ -25,7 +25,7 @@ _hash = partial(xxhash.xxh64_intdigest, seed=42)
 #: Rows of hashes whose bits are counted at a time.
 _ROWS = 1 << 16
 #: Fingerprints of a shard beyond which it is cut into blocks that meet pairwise, each pair in a task of its own.
-HOT = 8_192
+HOT = 65_536
 #: Pairs of fingerprints below which a branch is compared rather than split, and the most compared at a time.
 _FEW = 1 << 18
 _BLOCK = 1 << 20
